@@ -26,7 +26,8 @@ def latest_rows(inventory: DataFrame) -> DataFrame:
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def action_type(rule: Column = F.col("rule_name")) -> Column:
+def action_type(rule: Column | None = None) -> Column:
+    rule = F.col("rule_name") if rule is None else rule
     expr = None
     for name, action in ACTION_BY_RULE.items():
         expr = (F.when(rule == name, F.lit(action)) if expr is None
@@ -47,9 +48,10 @@ def _sentence(pieces: tuple, qty: Column) -> Column:
     return F.concat_ws(" ", *parts)
 
 
-def recommendation_text(cfg: SignalConfig = SignalConfig(), rule: Column = F.col("rule_name")
+def recommendation_text(cfg: SignalConfig = SignalConfig(), rule: Column | None = None
                         ) -> Column:
     """The sentence for a rule; null pieces (e.g. an unknown category) drop out."""
+    rule = F.col("rule_name") if rule is None else rule
     qty = restock_units(cfg)
     expr = None
     for name, pieces in SENTENCE_BY_RULE.items():

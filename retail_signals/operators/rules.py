@@ -19,7 +19,6 @@ from ..vocabulary import (RULE_DEMAND_DROP, RULE_DEMAND_SPIKE, RULE_FULFILLMENT_
 
 ANOMALY_COLUMNS = ("anomaly_id", "date", "store_id", "item_id", "rule_name", "severity",
                    "metric_value", "expected_value", "details")
-NULL_DOUBLE = F.lit(None).cast("double")
 
 
 def _rule_parts(cfg: SignalConfig) -> list[tuple[str, Column, Column, Column]]:
@@ -39,7 +38,8 @@ def _rule_parts(cfg: SignalConfig) -> list[tuple[str, Column, Column, Column]]:
          F.col("closing_stock").cast("double"), cover),
         (RULE_FULFILLMENT_DROP, F.col("fulfillment_rate") < F.lit(cfg.min_fulfillment_rate),
          F.col("fulfillment_rate"), F.lit(cfg.min_fulfillment_rate)),
-        (RULE_MISSING_PRICE, F.col("price").isNull(), NULL_DOUBLE, NULL_DOUBLE),
+        (RULE_MISSING_PRICE, F.col("price").isNull(), F.lit(None).cast("double"),
+         F.lit(None).cast("double")),
     ]
 
 

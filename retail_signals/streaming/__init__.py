@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline with no streaming source, sink, watermark or
+state; its trailing baseline counts rows, which Structured Streaming cannot
+window. Nothing is added here beyond the reference's scope.
+"""
