@@ -10,80 +10,24 @@ series never has to fit in memory and there is no per-group Python call.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import StockPolicy
+from . import stock_kernel
 from .demand import SERIES_KEYS
+from .stock_kernel import fold_openings, make_kernel  # noqa: F401  (public for tests)
+
+# Workers receive the kernel by value: no package install needed on executors.
+cloudpickle.register_pickle_by_value(stock_kernel)
 
 LEDGER_COLUMNS = ("date", "store_id", "state_id", "item_id", "dept_id", "cat_id", "demand",
                   "forecast_units", "opening_stock", "replenished_qty", "fulfilled_qty",
                   "closing_stock", "stockout_flag", "fulfillment_rate")
 
 
-class _SeriesState:
-    """Stock of the series being folded and the reorder flags of its last
-    ``lead`` rows (a ring indexed by row number modulo lead)."""
-
-    __slots__ = ("key", "stock", "ring", "pos")
-
-    def __init__(self, key, policy: StockPolicy):
-        self.key = key
-        self.stock = policy.initial_stock
-        self.ring = [False] * policy.lead_rows
-        self.pos = 0
-
-
-def fold_openings(keys: list, demand: list, state: _SeriesState | None,
-                  policy: StockPolicy) -> tuple[np.ndarray, np.ndarray, _SeriesState | None]:
-    """Opening stock and arrivals for consecutive rows sorted by (key, date).
-
-    ``keys[i]`` identifies the series of row ``i``; ``state`` is the series
-    left open by the previous batch (or ``None``). Returns the two columns and
-    the state to carry into the next batch.
-    """
-    n = len(keys)
-    opening = np.empty(n, dtype=np.int64)
-    arrived = np.empty(n, dtype=np.int64)
-    lead, rop, qty = policy.lead_rows, policy.reorder_point, policy.reorder_qty
-    for i in range(n):
-        key = keys[i]
-        if state is None or key != state.key:
-            state = _SeriesState(key, policy)
-        ring, slot = state.ring, state.pos
-        got = qty if ring[slot] else 0          # order placed ``lead`` rows ago
-        stock = state.stock + got
-        ring[slot] = stock <= rop               # reorder check on the opening stock
-        state.pos = slot + 1 if slot + 1 < lead else 0
-        d = demand[i]
-        filled = stock if stock < d else d
-        left = stock - filled
-        state.stock = int(left) if left > 0.0 else 0
-        opening[i] = stock
-        arrived[i] = got
-    return opening, arrived, state
-
-
-def _kernel(policy: StockPolicy):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        state = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keys = list(zip(pdf["store_id"].tolist(), pdf["item_id"].tolist()))
-            demand = pdf["demand"].tolist()
-            opening, arrived, state = fold_openings(keys, demand, state, policy)
-            pdf["opening_stock"] = opening.astype(np.int32)
-            pdf["replenished_qty"] = arrived.astype(np.int32)
-            yield pdf
-    return run
-
-
 def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
                   partitioned_by_series: bool = False) -> DataFrame:
     """Stock ledger for every series of ``frame``.
@@ -108,7 +52,9 @@ def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
         T.StructField("opening_stock", T.IntegerType(), False),
         T.StructField("replenished_qty", T.IntegerType(), False),
     ])
-    folded = prepared.mapInPandas(_kernel(policy), schema)
+    kernel = make_kernel((policy.initial_stock, policy.reorder_point, policy.reorder_qty,
+                          policy.lead_rows))
+    folded = prepared.mapInPandas(kernel, schema)
     opening = F.col("opening_stock").cast("double")
     filled = F.least(opening, F.col("demand"))
     return (folded

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import SignalConfig
 from ..operators.baseline import attach_forecast, build_forecast, with_baseline
 from ..operators.demand import enrich_demand, unpivot_days
-from ..operators.diagnose import diagnose_all, top_anomaly
+from ..operators.diagnose import candidate_rows, diagnose_all, top_anomaly
 from ..operators.recommend import latest_rows, recommend
 from ..operators.rules import (ANOMALY_COLUMNS, demand_drops, demand_spikes, detect,
                                fulfillment_drops, low_inventory, missing_prices, union_rules)
@@ -120,7 +120,7 @@ def q_diagnosis_root_cause(spark, sf):
 
 
 def q_diagnosis_candidates(spark, sf):
-    return (_diagnosis(spark, sf).select("anomaly_id", F.inline("rounds"))
+    return (candidate_rows(*_stored(spark, sf))
             .select("anomaly_id", "round", "candidate_name", "score",
                     F.array_join("score_notes", "; ").alias("score_notes"), "response"))
 

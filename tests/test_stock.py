@@ -115,7 +115,8 @@ def test_schema_and_partition_invariance(spark):
 def test_kernel_carries_state_across_batches():
     keys = [("a", "x")] * 10
     demand = [30.0] * 10
-    whole, _, _ = fold_openings(keys, demand, None, StockPolicy())
-    first, _, state = fold_openings(keys[:4], demand[:4], None, StockPolicy())
-    second, _, _ = fold_openings(keys[4:], demand[4:], state, StockPolicy())
+    policy = (150, 40, 120, 2)
+    whole, _, _ = fold_openings(keys, demand, None, policy)
+    first, _, state = fold_openings(keys[:4], demand[:4], None, policy)
+    second, _, _ = fold_openings(keys[4:], demand[4:], state, policy)
     assert list(whole) == list(first) + list(second)
