@@ -41,7 +41,8 @@ sales AS (
   SELECT item_id, item_id AS dept_id, '{CATEGORY}' AS cat_id, store_id, state_id, k,
          'd_' || CAST(k + 1 AS VARCHAR) AS d, CAST(sum(quantity) AS DOUBLE) AS units_sold
   FROM li GROUP BY store_id, item_id, state_id, k),
-days AS (SELECT unnest(range(min(k), max(k) + 1)) AS k FROM li),
+days AS (SELECT unnest(range(min(k), max(k) + 1)) AS k
+         FROM (SELECT CAST(l_shipdate AS DATE) - DATE '{EPOCH}' AS k FROM lineitem)),
 cal AS (
   SELECT k, 'd_' || CAST(k + 1 AS VARCHAR) AS d, DATE '{EPOCH}' + CAST(k AS INTEGER) AS date,
          CAST(floor(k / {WEEK_DAYS}) + 1 AS INTEGER) AS wm_yr_wk,

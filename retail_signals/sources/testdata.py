@@ -62,24 +62,34 @@ def week_of(k) -> F.Column:
     return (F.floor(k / WEEK_DAYS) + 1).cast("int")
 
 
-def long_sales(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
-    """Long sales: item_id, dept_id, cat_id, store_id, state_id, d, units_sold.
+def daily_facts(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
+    """Per store, item and day: summed units and the highest unit price of the
+    lines not returned (null when every line of the day was returned).
 
-    Quantities are summed per store, item and day; the partial aggregate runs
-    before the shuffle, so a hot supplier costs one row per day and task."""
+    Both the sales and the weekly prices come from this one aggregate, so the
+    line scan and its joins run once; Spark aggregates partially before the
+    shuffle, so a hot supplier costs one row per day and task."""
     facts = facts if facts is not None else line_facts(spark, sf_dir)
-    daily = (facts.groupBy("store_id", "item_id", "state_id", "k")
-             .agg(F.sum("quantity").alias("units_sold")))
+    return (facts.groupBy("store_id", "item_id", "state_id", "k")
+            .agg(F.sum("quantity").alias("units_sold"), F.max("unit_price").alias("day_price")))
+
+
+def long_sales(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """Long sales: item_id, dept_id, cat_id, store_id, state_id, d, units_sold."""
+    daily = daily if daily is not None else daily_facts(spark, sf_dir)
     return daily.select("item_id", F.col("item_id").alias("dept_id"),
                         F.lit(CATEGORY).alias("cat_id"), "store_id", "state_id",
                         d_label(F.col("k")).alias("d"),
                         F.col("units_sold").cast("double").alias("units_sold"))
 
 
-def calendar(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
-    """One row per day between the first and the last ship date."""
-    facts = facts if facts is not None else line_facts(spark, sf_dir)
-    span = facts.agg(F.min("k").alias("k0"), F.max("k").alias("k1"))
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per day between the first and the last ship date.
+
+    The span is a global min/max over one pruned column (partial aggregates
+    per task, one final row); the exploded calendar is bounded by the span."""
+    k = day_number(F.to_date("l_shipdate"))
+    span = _table(spark, sf_dir, "lineitem").agg(F.min(k).alias("k0"), F.max(k).alias("k1"))
     days = span.select(F.explode(F.sequence("k0", "k1")).alias("k"))
     event = (F.col("k") % EVENT_CYCLE_DAYS).isin(*EVENT_DAYS)
     return days.select(d_label(F.col("k")).alias("d"),
@@ -89,18 +99,19 @@ def calendar(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -
                        F.when(event, F.lit(EVENT_TYPE)).alias("event_type_1"))
 
 
-def prices(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
-    """Weekly prices: store_id, item_id, wm_yr_wk, sell_price."""
-    facts = facts if facts is not None else line_facts(spark, sf_dir)
-    return (facts.where(F.col("unit_price").isNotNull())
-            .groupBy("store_id", "item_id", week_of(F.col("k")).alias("wm_yr_wk"))
-            .agg(F.max("unit_price").alias("sell_price")))
+def prices(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """Weekly prices: store_id, item_id, wm_yr_wk, sell_price; weeks whose lines
+    were all returned get no row."""
+    daily = daily if daily is not None else daily_facts(spark, sf_dir)
+    return (daily.groupBy("store_id", "item_id", week_of(F.col("k")).alias("wm_yr_wk"))
+            .agg(F.max("day_price").alias("sell_price"))
+            .where(F.col("sell_price").isNotNull()))
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(long sales, calendar, prices) from one shared line scan."""
-    facts = line_facts(spark, sf_dir)
-    return long_sales(spark, sf_dir, facts), calendar(spark, sf_dir, facts), prices(spark, sf_dir, facts)
+    """(long sales, calendar, prices) from one shared daily aggregate."""
+    daily = daily_facts(spark, sf_dir)
+    return long_sales(spark, sf_dir, daily), calendar(spark, sf_dir), prices(spark, sf_dir, daily)
 
 
 def day_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
