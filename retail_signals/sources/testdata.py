@@ -36,19 +36,14 @@ def day_number(date_col) -> F.Column:
 
 
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: store_id, item_id, state_id, date, k (day number
-    from 0), quantity, unit price of lines not returned."""
+    """One row per line item with its part type: l_suppkey, item_id, k (day
+    number from 0), quantity, unit price of lines not returned."""
     li = _table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    date = F.to_date("l_shipdate")
     return (li.join(part, li.l_partkey == part.p_partkey)
-            .join(supplier, li.l_suppkey == supplier.s_suppkey)
-            .select(F.col("l_suppkey").cast("string").alias("store_id"),
-                    F.col("p_type").alias("item_id"),
-                    F.col("s_nationkey").cast("string").alias("state_id"),
-                    date.alias("date"), day_number(date).alias("k"),
+            .select("l_suppkey", F.col("p_type").alias("item_id"),
+                    day_number(F.to_date("l_shipdate")).alias("k"),
                     F.col("l_quantity").alias("quantity"),
                     F.when(F.col("l_returnflag") != "R",
                            F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price")))
@@ -64,14 +59,22 @@ def week_of(k) -> F.Column:
 
 def daily_facts(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """Per store, item and day: summed units and the highest unit price of the
-    lines not returned (null when every line of the day was returned).
+    lines not returned (null when every line of the day was returned), with the
+    store's state.
 
     Both the sales and the weekly prices come from this one aggregate, so the
-    line scan and its joins run once; Spark aggregates partially before the
-    shuffle, so a hot supplier costs one row per day and task."""
+    line scan and its joins run once. The aggregate groups on the numeric
+    supplier key (cheaper to hash and shuffle than strings) and Spark
+    aggregates partially before the shuffle, so a hot supplier costs one row
+    per day and task; the supplier's nation is joined to the aggregated rows."""
     facts = facts if facts is not None else line_facts(spark, sf_dir)
-    return (facts.groupBy("store_id", "item_id", "state_id", "k")
-            .agg(F.sum("quantity").alias("units_sold"), F.max("unit_price").alias("day_price")))
+    supplier = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    daily = (facts.groupBy("l_suppkey", "item_id", "k")
+             .agg(F.sum("quantity").alias("units_sold"), F.max("unit_price").alias("day_price")))
+    return (daily.join(supplier, daily.l_suppkey == supplier.s_suppkey)
+            .select(F.col("l_suppkey").cast("string").alias("store_id"), "item_id",
+                    F.col("s_nationkey").cast("string").alias("state_id"), "k", "units_sold",
+                    "day_price"))
 
 
 def long_sales(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
