@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_if_bounded
 from ..vocabulary import ERR_NO_DAY_COLUMNS
 
 DAY_PREFIX = "d_"
@@ -13,8 +12,6 @@ ID_COLUMNS = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
 SERIES_KEYS = ("store_id", "item_id")
 DEMAND_COLUMNS = ("date", "d", "store_id", "state_id", "item_id", "dept_id", "cat_id",
                   "units_sold", "price", "event_name_1", "event_type_1", "is_promo")
-# A calendar holds one row per day; beyond this many rows it is not hinted.
-CALENDAR_BROADCAST_ROWS = 200_000
 
 
 def day_columns(sales: DataFrame) -> list[str]:
@@ -44,15 +41,17 @@ def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     """Attach date, week and events by ``d`` and the weekly price by
     (store, item, week); both joins are left outer.
 
-    The calendar is one row per day: it is broadcast after a row-count check.
-    Prices grow with series x weeks, so that join is left to the planner (AQE
-    turns it into a broadcast only when the runtime size allows).
+    No join hint is given: the calendar (one row per day) is small, and Spark
+    broadcasts it from its own size checks (file-size estimates, or AQE's exact
+    size of the materialised calendar stage) without an extra counting job.
+    Prices grow with series x weeks; AQE broadcasts them only when their
+    runtime size allows, otherwise both sides shuffle on the join keys.
     """
     to_date = F.try_to_date if lenient else F.to_date
     cal = calendar.select("d", "date", "wm_yr_wk", "event_name_1", "event_type_1")
     price = prices.select("store_id", "item_id", "wm_yr_wk", F.col("sell_price").alias("price"))
     joined = (long_sales
-              .join(broadcast_if_bounded(cal, CALENDAR_BROADCAST_ROWS), on="d", how="left")
+              .join(cal, on="d", how="left")
               .join(price, on=["store_id", "item_id", "wm_yr_wk"], how="left"))
     date = F.col("date") if dict(calendar.dtypes)["date"] == "date" else to_date(F.col("date"))
     units = F.col("units_sold").cast("double")

@@ -17,6 +17,7 @@ from ..operators.diagnose import diagnose_all, diagnose_one
 from ..operators.recommend import recommend
 from ..operators.rules import ANOMALY_COLUMNS, detect
 from ..operators.stock import inventory_table, project_stock
+from ..functions.checks import assert_unique
 from ..session import materialize
 from ..sources.files import read_raw_inputs, read_table, table_path, write_table
 
@@ -69,17 +70,34 @@ def build_all(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     return tables_from_ledger(demand, ledger_from_demand(demand, cfg), cfg)
 
 
+def check_inputs(calendar: DataFrame, prices: DataFrame) -> None:
+    """Fail on duplicate calendar days or price weeks (they would fan out rows)."""
+    assert_unique(calendar, ["d"], "calendar")
+    assert_unique(prices, ["store_id", "item_id", "wm_yr_wk"], "prices")
+
+
 def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                out_dir: str | Path, cfg: SignalConfig = SignalConfig(), long_form: bool = False,
-               lenient: bool = False) -> dict[str, str]:
+               lenient: bool = False, check_keys: bool = False) -> dict[str, str]:
     """Write the five tables in stage order; each later stage reads what the
     earlier ones wrote, so the window and the Python fold run exactly once and
-    a lost executor re-reads files instead of recomputing the fold."""
+    a lost executor re-reads files instead of recomputing the fold.
+
+    Demand rows whose day has no calendar row (null date) stay in the demand
+    table, are also written to ``rejected_demand`` when there are any, and are
+    left out of the ledger and the rules: a ledger needs a date order, and
+    their ids would collide. ``check_keys`` first checks the dimension keys.
+    """
+    if check_keys:
+        check_inputs(calendar, prices)
     demand = (enrich_demand(sales, calendar, prices, lenient) if long_form
               else build_demand(sales, calendar, prices, lenient))
     paths = {"processed_demand": write_table(demand, out_dir, "processed_demand")}
     demand = read_table(spark, out_dir, "processed_demand")
-    ledger = materialize(ledger_from_demand(demand, cfg))
+    undated = demand.filter(F.col("date").isNull())
+    if undated.limit(1).count() > 0:
+        paths["rejected_demand"] = write_table(undated, out_dir, "rejected_demand")
+    ledger = materialize(ledger_from_demand(demand.filter(F.col("date").isNotNull()), cfg))
     paths["forecast"] = write_table(forecast_from_ledger(ledger), out_dir, "forecast")
     paths["inventory_fulfillment"] = write_table(inventory_table(ledger), out_dir,
                                                  "inventory_fulfillment")
@@ -93,10 +111,12 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str | Path, out_dir: str | Path,
-                 cfg: SignalConfig = SignalConfig(), lenient: bool = False) -> dict[str, str]:
+                 cfg: SignalConfig = SignalConfig(), lenient: bool = False,
+                 check_keys: bool = False) -> dict[str, str]:
     """Three CSV inputs in ``raw_dir`` -> five Parquet tables in ``out_dir``."""
     sales, calendar, prices = read_raw_inputs(spark, raw_dir, lenient)
-    return run_tables(spark, sales, calendar, prices, out_dir, cfg, lenient=lenient)
+    return run_tables(spark, sales, calendar, prices, out_dir, cfg, lenient=lenient,
+                      check_keys=check_keys)
 
 
 def run_diagnosis(spark: SparkSession, artifacts_dir: str | Path,

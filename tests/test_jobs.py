@@ -51,3 +51,22 @@ def test_end_to_end(spark, tmp_path):
     every = run_diagnosis(spark, out, all_anomalies=True)
     assert every.count() == logs.select("anomaly_id").distinct().count()
     assert spark.range(1).count() == 1  # the caller's session is still alive
+
+
+def test_undated_rows_are_routed_and_keys_checked(spark, tmp_path):
+    import pytest
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    _write_inputs(raw, days=30)
+    cal = (raw / "calendar.csv").read_text().splitlines()
+    (raw / "calendar.csv").write_text("\n".join(cal[:-2]) + "\n")  # days 29 and 30 unknown
+    paths = run_pipeline(spark, raw, out)
+    rejected = spark.read.parquet(paths["rejected_demand"])
+    assert rejected.count() == 4 * 2
+    assert spark.read.parquet(paths["processed_demand"]).count() == 4 * 30
+    assert spark.read.parquet(paths["inventory_fulfillment"]).count() == 4 * 28
+    (raw / "calendar.csv").write_text("\n".join(cal + [cal[1]]) + "\n")  # a duplicated day
+    from retail_signals.plans.jobs import run_tables
+    from retail_signals.sources.files import read_raw_inputs
+    with pytest.raises(ValueError, match="calendar: keys"):
+        run_tables(spark, *read_raw_inputs(spark, raw), tmp_path / "o2", check_keys=True)
