@@ -292,3 +292,8 @@ SELECT b.anomaly_id, b.candidate_name AS best_candidate, b.score AS best_score,
        || 'Rounds:' || {NL} || r.lines || {NL} AS explanation
 FROM best b JOIN round_lines r ON r.anomaly_id = b.anomaly_id""",
 }
+ORACLE_SQL["diagnosis_top"] = ORACLE_SQL["diagnosis_best"] + """
+WHERE b.anomaly_id = (
+  SELECT anomaly_id FROM anoms
+  ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, date DESC, anomaly_id
+  LIMIT 1)"""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..config import SignalConfig
 from ..operators.baseline import attach_forecast, build_forecast, with_baseline
 from ..operators.demand import enrich_demand, unpivot_days
-from ..operators.diagnose import candidate_rows, diagnose_all, top_anomaly
+from ..operators.diagnose import candidate_rows, diagnose_all, diagnose_one, top_anomaly
 from ..operators.recommend import latest_rows, recommend
 from ..operators.rules import (ANOMALY_COLUMNS, demand_drops, demand_spikes, detect,
                                fulfillment_drops, low_inventory, missing_prices, union_rules)
@@ -130,6 +130,12 @@ def q_diagnosis_best(spark, sf):
                                         "explanation")
 
 
+def q_diagnosis_top(spark, sf):
+    """The reference's own use: diagnose the top anomaly, reading only its rows."""
+    return diagnose_one(*_stored(spark, sf)).select("anomaly_id", "best_candidate",
+                                                    "best_score", "explanation")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demand_unpivot": q_demand_unpivot,
     "demand_timeseries": q_demand_timeseries,
@@ -150,4 +156,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnosis_root_cause": q_diagnosis_root_cause,
     "diagnosis_candidates": q_diagnosis_candidates,
     "diagnosis_best": q_diagnosis_best,
+    "diagnosis_top": q_diagnosis_top,
 }

@@ -4,7 +4,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -39,14 +38,3 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after checking that ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
-    the table turns out to be large; above the bound the frame is returned
-    unhinted and the planner (AQE, size statistics) picks the join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
