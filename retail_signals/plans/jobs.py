@@ -70,8 +70,15 @@ def build_all(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     return tables_from_ledger(demand, ledger_from_demand(demand, cfg), cfg)
 
 
-def check_inputs(calendar: DataFrame, prices: DataFrame) -> None:
-    """Fail on duplicate calendar days or price weeks (they would fan out rows)."""
+def check_inputs(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
+                 long_form: bool = False) -> None:
+    """Fail on duplicate series rows, calendar days or price weeks.
+
+    Duplicates would fan demand rows out through the left joins, and unique
+    sales keys bound every series to one row per day, which is what keeps a
+    series (one task of the stock fold) bounded by the calendar."""
+    assert_unique(sales, ["store_id", "item_id", "d"] if long_form else ["store_id", "item_id"],
+                  "sales")
     assert_unique(calendar, ["d"], "calendar")
     assert_unique(prices, ["store_id", "item_id", "wm_yr_wk"], "prices")
 
@@ -89,7 +96,7 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
     their ids would collide. ``check_keys`` first checks the dimension keys.
     """
     if check_keys:
-        check_inputs(calendar, prices)
+        check_inputs(sales, calendar, prices, long_form)
     demand = (enrich_demand(sales, calendar, prices, lenient) if long_form
               else build_demand(sales, calendar, prices, lenient))
     paths = {"processed_demand": write_table(demand, out_dir, "processed_demand")}
@@ -138,7 +145,12 @@ def run_diagnosis(spark: SparkSession, artifacts_dir: str | Path,
         return spark.read.parquet(table_path(out, DIAGNOSIS_TABLE))
     result = diagnose_one(anomalies, inventory, recs, anomaly_id)
     text = result.select("explanation").first()["explanation"]
-    if str(out).startswith(("/", ".")) or "://" not in str(out):
+    target = str(out_dir if out_dir is not None else artifacts_dir).rstrip("/")
+    if "://" in target:
+        # a shared store: one row written by Spark (a folder with one text part)
+        (spark.createDataFrame([(text,)], "value string").coalesce(1)
+         .write.mode("overwrite").text(f"{target}/{DIAGNOSIS_TEXT}"))
+    else:
         out.mkdir(parents=True, exist_ok=True)
         (out / DIAGNOSIS_TEXT).write_text(text, encoding="utf-8")
     return result

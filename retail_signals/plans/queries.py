@@ -43,8 +43,15 @@ def _stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     return anomalies, inventory, recommend(anomalies, inventory, CFG)
 
 
+def _ledger_outputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """(anomalies, inventory) from one checkpointed ledger."""
+    led = materialize(ledger(spark, sf))
+    return detect(led, CFG).select(*ANOMALY_COLUMNS), inventory_table(led)
+
+
 def _diagnosis(spark: SparkSession, sf: str) -> DataFrame:
-    return diagnose_all(*_stored(spark, sf))
+    """Diagnosis of every anomaly, recommendations computed in-row."""
+    return diagnose_all(*_ledger_outputs(spark, sf), None, CFG)
 
 
 def q_demand_unpivot(spark, sf):
@@ -120,7 +127,7 @@ def q_diagnosis_root_cause(spark, sf):
 
 
 def q_diagnosis_candidates(spark, sf):
-    return (candidate_rows(*_stored(spark, sf))
+    return (candidate_rows(*_ledger_outputs(spark, sf), None, CFG)
             .select("anomaly_id", "round", "candidate_name", "score",
                     F.array_join("score_notes", "; ").alias("score_notes"), "response"))
 

@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,11 +31,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder.
+    """Cut the lineage of ``df`` by writing it as a Parquet table into the
+    shared checkpoint folder and reading it back.
 
     Used where one expensive stage (the stock fold) feeds several branches of a
-    plan: the stage then runs once, and a lost executor re-reads the files
-    instead of recomputing the fold.
+    plan: the stage runs once (an RDD checkpoint would compute it a second time
+    to write it), and a lost executor re-reads the files instead of recomputing
+    the fold.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/retail_signals/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -110,3 +110,24 @@ def test_errors(spark):
     with pytest.raises(ValueError, match="Anomaly id not found: nope"):
         diagnose_one(an, inv, recs, "nope")
     assert top_anomaly_id(an) == an.first().anomaly_id
+
+
+def test_in_row_recommendations_equal_the_joined_table(spark):
+    import random
+    rnd = random.Random(2)
+    d0 = dt.date(2016, 1, 1)
+    rules = ["low_inventory", "fulfillment_drop", "demand_spike", "missing_price", "demand_drop"]
+    rows = [(d0 + dt.timedelta(days=rnd.randint(0, 30)), f"S{rnd.randint(0, 3)}",
+             f"I{rnd.randint(0, 2)}", rnd.choice(rules), "high", float(rnd.randint(0, 9)),
+             rnd.choice([None, 2.5]), "x") for _ in range(60)]
+    an = anomalies(spark, rows)
+    an = an.unionByName(an.limit(5))  # duplicated anomalies too
+    inv = spark.createDataFrame(
+        [(d0 + dt.timedelta(days=k), f"S{s}", f"I{i}", rnd.randint(0, 50), rnd.random() * 30,
+          "D", rnd.choice(["C", None])) for s in range(3) for i in range(3) for k in range(8)],
+        INV_SCHEMA)
+    cols = ["anomaly_id", "root_cause", "best_candidate", "best_score", "explanation"]
+    joined = diagnose_all(an, inv, recommend(an, inv)).select(cols)
+    fused = diagnose_all(an, inv, None).select(cols)
+    assert joined.count() == fused.count() == an.select("anomaly_id").distinct().count()
+    assert joined.exceptAll(fused).count() == 0 and fused.exceptAll(joined).count() == 0
