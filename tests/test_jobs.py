@@ -70,3 +70,16 @@ def test_undated_rows_are_routed_and_keys_checked(spark, tmp_path):
     from retail_signals.sources.files import read_raw_inputs
     with pytest.raises(ValueError, match="calendar: keys"):
         run_tables(spark, *read_raw_inputs(spark, raw), tmp_path / "o2", check_keys=True)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from retail_signals.__main__ import main
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    _write_inputs(raw, days=40)
+    assert main(["run-pipeline", str(raw), str(out)], spark=spark) == 0
+    printed = capsys.readouterr().out
+    assert "validation_logs" in printed and "recommendations" in printed
+    assert main(["diagnose", str(out)], spark=spark) == 0
+    report = capsys.readouterr().out
+    assert "Prompt Evolution:" in report and (out / "diagnosis_report.txt").exists()
