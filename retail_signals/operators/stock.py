@@ -4,9 +4,10 @@ The recurrence (arrivals, then opening stock, reorder check on the opening,
 fulfilment capped by stock, closing truncated to a whole number) clamps and
 feeds back with a delay, so no window function or associative scan expresses
 it. Spark hash-partitions by series and sorts by date inside each partition;
-``mapInPandas`` then streams the Arrow batches of a partition through a small
+``mapInArrow`` then streams the Arrow batches of a partition through a small
 kernel that carries the state of the current series across batch edges. A
-series never has to fit in memory and there is no per-group Python call.
+series never has to fit in memory, there is no per-group Python call, and no
+column is converted to pandas.
 """
 from __future__ import annotations
 
@@ -54,7 +55,7 @@ def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
     ])
     kernel = make_kernel((policy.initial_stock, policy.reorder_point, policy.reorder_qty,
                           policy.lead_rows))
-    folded = prepared.mapInPandas(kernel, schema)
+    folded = prepared.mapInArrow(kernel, schema)
     opening = F.col("opening_stock").cast("double")
     filled = F.least(opening, F.col("demand"))
     return (folded
@@ -62,10 +63,14 @@ def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
             .withColumn("closing_stock",
                         F.floor(F.greatest(F.lit(0.0), opening - F.col("fulfilled_qty")))
                         .cast("int"))
+            # Spark orders NaN above every number; the ledger's comparisons follow
+            # IEEE (a NaN demand is never above the fill, nor above zero)
             .withColumn("stockout_flag",
-                        F.when(F.col("demand") > F.col("fulfilled_qty"), 1).otherwise(0))
+                        F.when(~F.isnan("demand") & (F.col("demand") > F.col("fulfilled_qty")), 1)
+                        .otherwise(0))
             .withColumn("fulfillment_rate",
-                        F.when(F.col("demand") > 0, F.col("fulfilled_qty") / F.col("demand"))
+                        F.when(~F.isnan("demand") & (F.col("demand") > 0),
+                               F.col("fulfilled_qty") / F.col("demand"))
                         .otherwise(F.lit(1.0))))
 
 

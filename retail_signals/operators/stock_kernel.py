@@ -1,6 +1,6 @@
 """The per-partition kernel of the stock fold.
 
-Self-contained (NumPy and pandas only): Spark ships it to the Python workers
+Self-contained (NumPy and PyArrow only): Spark ships it to the Python workers
 by value, so executors need no copy of this package. ``policy`` is the plain
 tuple (initial_stock, reorder_point, reorder_qty, lead_rows).
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 
 
 class SeriesState:
@@ -57,16 +57,25 @@ def fold_openings(keys: list, demand: list, state: SeriesState | None,
 
 
 def make_kernel(policy: tuple[int, int, int, int]):
-    """``mapInPandas`` function: adds opening_stock and replenished_qty to each
-    Arrow batch, carrying the open series across batch edges."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``mapInArrow`` function: appends opening_stock and replenished_qty to each
+    Arrow batch, carrying the open series across batch edges.
+
+    Only the key and demand columns are read into Python; every other column
+    is passed through as the same Arrow buffers, so values (NaN and null
+    included) come back exactly as they went in.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            keys = list(zip(pdf["store_id"].tolist(), pdf["item_id"].tolist()))
-            opening, arrived, state = fold_openings(keys, pdf["demand"].tolist(), state, policy)
-            pdf["opening_stock"] = opening.astype(np.int32)
-            pdf["replenished_qty"] = arrived.astype(np.int32)
-            yield pdf
+            names = batch.schema.names
+            keys = list(zip(batch.column(names.index("store_id")).to_pylist(),
+                            batch.column(names.index("item_id")).to_pylist()))
+            demand = batch.column(names.index("demand")).to_pylist()
+            opening, arrived, state = fold_openings(keys, demand, state, policy)
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns) + [pa.array(opening.astype(np.int32), pa.int32()),
+                                       pa.array(arrived.astype(np.int32), pa.int32())],
+                names=names + ["opening_stock", "replenished_qty"])
     return run

@@ -120,3 +120,13 @@ def test_kernel_carries_state_across_batches():
     first, _, state = fold_openings(keys[:4], demand[:4], None, policy)
     second, _, _ = fold_openings(keys[4:], demand[4:], state, policy)
     assert list(whole) == list(first) + list(second)
+
+
+def test_nan_demand_follows_ieee_comparisons(spark):
+    got = run(spark, {("s", "nan"): [(10.0, 5.0), (float("nan"), 5.0), (3.0, 5.0)]})[("s", "nan")]
+    want = queue_ledger([10.0, float("nan"), 3.0], [5.0, 5.0, 5.0])
+    for g, w in zip(got, want):
+        assert g["opening_stock"] == w["opening_stock"]
+        assert g["closing_stock"] == w["closing_stock"]
+        assert g["stockout_flag"] == w["stockout_flag"]
+        assert g["fulfillment_rate"] == w["fulfillment_rate"]
