@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..config import StockPolicy
 from . import stock_kernel
 from .demand import SERIES_KEYS
-from .stock_kernel import fold_openings, make_kernel  # noqa: F401  (public for tests)
+from .stock_kernel import make_kernel
 
 # Workers receive the kernel by value: no package install needed on executors.
 cloudpickle.register_pickle_by_value(stock_kernel)

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from retail_signals import build_demand, build_forecast, day_columns, unpivot_days, with_baseline
 from retail_signals.sources.files import read_raw_inputs

@@ -2,11 +2,11 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from queue_model import ledger as queue_ledger
 from retail_signals import StockPolicy, project_stock
-from retail_signals.operators.stock import LEDGER_COLUMNS, fold_openings
+from retail_signals.operators.stock import LEDGER_COLUMNS
+from retail_signals.operators.stock_kernel import fold_openings
 
 D0 = dt.date(2016, 1, 1)
 SCHEMA = "date date, store_id string, item_id string, units_sold double, forecast_units double"
