@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class SeriesState:
@@ -34,26 +35,58 @@ def fold_openings(keys: list, demand: list, state: SeriesState | None,
     left open by the previous batch (or ``None``). Returns the two columns and
     the state to carry into the next batch.
     """
-    initial, rop, qty, lead = policy
     n = len(keys)
-    opening = np.empty(n, dtype=np.int64)
-    arrived = np.empty(n, dtype=np.int64)
+    starts = [True] * n
+    for i in range(1, n):
+        starts[i] = keys[i] != keys[i - 1]
+    if n and state is not None and keys[0] == state.key:
+        starts[0] = False
+    return fold_runs(starts, demand, keys[-1] if n else None, state, policy)
+
+
+def fold_runs(starts: list, demand: list, last_key, state: SeriesState | None,
+              policy: tuple[int, int, int, int]
+              ) -> tuple[np.ndarray, np.ndarray, SeriesState | None]:
+    """The fold itself; ``starts[i]`` is True where a new series begins (the
+    first row continues ``state`` when False)."""
+    initial, rop, qty, lead = policy
+    n = len(demand)
+    opening = [0] * n
+    arrived = [0] * n
+    if state is None:
+        state = SeriesState(None, initial, lead)
+    stock, ring, slot = state.stock, state.ring, state.pos
     for i in range(n):
-        key = keys[i]
-        if state is None or key != state.key:
-            state = SeriesState(key, initial, lead)
-        ring, slot = state.ring, state.pos
+        if starts[i]:
+            stock, ring, slot = initial, [False] * lead, 0
         got = qty if ring[slot] else 0          # order placed ``lead`` rows ago
-        stock = state.stock + got
+        stock += got
         ring[slot] = stock <= rop               # reorder check on the opening stock
-        state.pos = slot + 1 if slot + 1 < lead else 0
-        d = demand[i]
-        filled = stock if stock < d else d
-        left = stock - filled
-        state.stock = int(left) if left > 0.0 else 0
+        slot = slot + 1 if slot + 1 < lead else 0
         opening[i] = stock
         arrived[i] = got
-    return opening, arrived, state
+        d = demand[i]
+        left = stock - (stock if stock < d else d)
+        stock = int(left) if left > 0.0 else 0
+    out = SeriesState(last_key, initial, lead)
+    out.stock, out.ring, out.pos = stock, ring, slot
+    return np.array(opening, dtype=np.int64), np.array(arrived, dtype=np.int64), out
+
+
+def _series_starts(store: pa.Array, item: pa.Array) -> list:
+    """True where the (store, item) key differs from the previous row's,
+    compared column-wise by Arrow (nulls count as equal to nulls)."""
+    n = len(store)
+    if n < 2:
+        return [True] * n
+    changed = None
+    for col in (store, item):
+        a, b = col.slice(1), col.slice(0, n - 1)
+        diff = pc.fill_null(pc.not_equal(a, b), True)
+        both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+        diff = pc.and_(diff, pc.invert(both_null))
+        changed = diff if changed is None else pc.or_(changed, diff)
+    return [True] + changed.to_numpy(zero_copy_only=False).tolist()
 
 
 def make_kernel(policy: tuple[int, int, int, int]):
@@ -70,10 +103,15 @@ def make_kernel(policy: tuple[int, int, int, int]):
             if batch.num_rows == 0:
                 continue
             names = batch.schema.names
-            keys = list(zip(batch.column(names.index("store_id")).to_pylist(),
-                            batch.column(names.index("item_id")).to_pylist()))
-            demand = batch.column(names.index("demand")).to_pylist()
-            opening, arrived, state = fold_openings(keys, demand, state, policy)
+            store = batch.column(names.index("store_id"))
+            item = batch.column(names.index("item_id"))
+            starts = _series_starts(store, item)
+            first = (store[0].as_py(), item[0].as_py())
+            if state is not None and state.key == first:
+                starts[0] = False
+            last = (store[-1].as_py(), item[-1].as_py())
+            demand = batch.column(names.index("demand")).to_numpy(zero_copy_only=False).tolist()
+            opening, arrived, state = fold_runs(starts, demand, last, state, policy)
             yield pa.RecordBatch.from_arrays(
                 list(batch.columns) + [pa.array(opening.astype(np.int32), pa.int32()),
                                        pa.array(arrived.astype(np.int32), pa.int32())],
