@@ -34,14 +34,22 @@ class Tables:
     recommendations: DataFrame
 
 
+# Demand columns the ledger, the rules and the recommendations read; the rest
+# (day label, events, promo flag) is not shipped through the Python fold.
+LEDGER_INPUT = ("date", "store_id", "state_id", "item_id", "dept_id", "cat_id", "units_sold",
+                "price")
+
+
 def ledger_from_demand(demand: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
     """Baseline window and stock fold over one exchange by series.
 
-    The result carries the demand columns, ``rolling_mean`` and the ledger
-    columns, which is all the rules need in one pass.
+    The result carries units_sold, price, ``rolling_mean`` and the ledger
+    columns, which is all the rules need in one pass. Only those columns go
+    through the fold: Spark cannot prune columns across the Python operator,
+    so the projection is made before it.
     """
-    return project_stock(with_baseline(demand, cfg.window_rows), cfg.policy,
-                         partitioned_by_series=True)
+    return project_stock(with_baseline(demand.select(*LEDGER_INPUT), cfg.window_rows),
+                         cfg.policy, partitioned_by_series=True)
 
 
 def forecast_from_ledger(ledger: DataFrame) -> DataFrame:
