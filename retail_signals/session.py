@@ -7,27 +7,28 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FALLBACK: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` must name a shared folder and is used
     as is. Only a local-mode session without that setting (tests, a laptop) gets
-    a private temporary folder.
+    a private temporary folder, created once per application.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+        return configured
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) "
             "so that materialised stages survive the loss of an executor")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="retail-signals-ckpt-"))
-    return sc.getCheckpointDir()
+    app = spark.conf.get("spark.app.id", "local")
+    if app not in _LOCAL_FALLBACK:
+        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="retail-signals-ckpt-")
+    return _LOCAL_FALLBACK[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
