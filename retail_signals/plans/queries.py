@@ -2,7 +2,8 @@
 
 Each takes (spark, sf_dir) and returns a lazy DataFrame over the whole
 tables. Queries whose plan would run the stock fold in two branches
-checkpoint the ledger first, so the fold runs once.
+materialise the ledger first (a Parquet table in the checkpoint folder), so the
+fold runs once.
 """
 from __future__ import annotations
 
@@ -36,7 +37,7 @@ def ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(anomalies, inventory, recommendations) from one checkpointed ledger."""
+    """(anomalies, inventory, recommendations) from one materialised ledger."""
     led = materialize(ledger(spark, sf))
     anomalies = detect(led, CFG).select(*ANOMALY_COLUMNS)
     inventory = inventory_table(led)
@@ -44,7 +45,7 @@ def _stored(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
 
 
 def _ledger_outputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(anomalies, inventory) from one checkpointed ledger."""
+    """(anomalies, inventory) from one materialised ledger."""
     led = materialize(ledger(spark, sf))
     return detect(led, CFG).select(*ANOMALY_COLUMNS), inventory_table(led)
 
