@@ -126,7 +126,7 @@ def day_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
 
 
 def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide sales in the M5 layout: ids, then one column per day ``d_<k+1>``
+    """Wide sales, one row per series: ids, then one column per day ``d_<k+1>``
     for every day of the span; a day without sales is null.
 
     The day list is the span of ship dates (two numbers fetched with one
