@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Origin of the day numbering, the week length, and the event rule.
 EPOCH = "1995-01-01"
 WEEK_DAYS = 7
@@ -112,8 +114,13 @@ def prices(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) ->
 
 
 def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(long sales, calendar, prices) from one shared daily aggregate."""
-    daily = daily_facts(spark, sf_dir)
+    """(long sales, calendar, prices) from one shared daily aggregate.
+
+    Sales and prices need different aggregates of the same daily rows, so
+    column pruning would give each its own line scan and part join (the most
+    expensive stage at scale). The daily aggregate is therefore written once
+    into the checkpoint folder and both read it."""
+    daily = materialize(daily_facts(spark, sf_dir))
     return long_sales(spark, sf_dir, daily), calendar(spark, sf_dir), prices(spark, sf_dir, daily)
 
 
