@@ -42,3 +42,29 @@ def test_sales_key_check(spark):
     with pytest.raises(ValueError, match="sales: keys"):
         check_inputs(sales, cal, prices, long_form=True)
     check_inputs(sales.limit(1), cal, prices, long_form=True)
+
+
+def test_one_anomaly_reads_only_its_rows(spark, capsys, tmp_path):
+    from pyspark.sql import functions as F
+
+    from retail_signals import diagnose_one
+    from retail_signals.functions.ids import anomaly_id
+    d0 = dt.date(2016, 1, 1)
+    an = spark.createDataFrame(
+        [(d0, f"s{s}", "i", "demand_spike", "high", 9.0, 3.0, "x") for s in range(4)],
+        "date date, store_id string, item_id string, rule_name string, severity string, "
+        "metric_value double, expected_value double, details string")
+    an = an.select(anomaly_id(F.col("rule_name")).alias("anomaly_id"), "*")
+    inv = spark.createDataFrame(
+        [(d0 + dt.timedelta(days=k), f"s{s}", "i", 5, 2.0, "D", "C") for s in range(4)
+         for k in range(5)],
+        "date date, store_id string, item_id string, closing_stock int, forecast_units double, "
+        "dept_id string, cat_id string")
+    for name, df in (("an", an), ("inv", inv)):
+        df.write.parquet(str(tmp_path / name))
+    an_r, inv_r = (spark.read.parquet(str(tmp_path / n)) for n in ("an", "inv"))
+    chosen = an_r.filter(F.col("store_id") == "s2").first().anomaly_id
+    plan = _plan(diagnose_one(an_r, inv_r, None, chosen), capsys)
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(anomaly_id,", plan), plan
+    assert re.search(r"PushedFilters: \[[^\]]*store_id", plan), plan
+    assert "WindowGroupLimit" in plan
