@@ -83,3 +83,8 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["diagnose", str(out)], spark=spark) == 0
     report = capsys.readouterr().out
     assert "Prompt Evolution:" in report and (out / "diagnosis_report.txt").exists()
+    some_id = (spark.read.parquet(str(out / "validation_logs.parquet"))
+               .filter("rule_name = 'missing_price'").first().anomaly_id)
+    assert main(["diagnose", str(out), "--anomaly-id", some_id], spark=spark) == 0
+    report = capsys.readouterr().out
+    assert f"Anomaly ID: {some_id}" in report and "Backfill missing price records" in report
