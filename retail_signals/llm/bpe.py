@@ -23,7 +23,6 @@ from .common import map_texts, worker_state
 from .units import ByteBpe
 
 SCHEMA = "n_tokens long, ids binary, decoded binary"
-_OLD = unicodedata.ucd_3_2_0
 
 
 def char_class(c: str) -> str:
@@ -34,7 +33,7 @@ def char_class(c: str) -> str:
     if c.isspace() or not c.isprintable():
         return ""
     kind = unicodedata.category(c)[0]
-    if _OLD.category(c)[0] != kind:
+    if unicodedata.ucd_3_2_0.category(c)[0] != kind:
         return ""
     return kind if kind in "LN" else "" if kind == "Z" else "O"
 
