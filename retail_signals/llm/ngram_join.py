@@ -43,7 +43,7 @@ from .components import components
 
 PERCENT = 80
 RUN = 4096
-RUN_TOKENS = 4_000_000
+RUN_TOKENS = 1_000_000
 TOKEN_BITS = 48
 HOT_SHARE = 100_000
 HOT_IN_RUN = 8
