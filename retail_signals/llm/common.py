@@ -12,6 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Spark's setting to delete a query's shuffle files when the query has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 ARROW_TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
     "string": pa.string(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32()),
@@ -34,7 +37,12 @@ def stage(df: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/llm/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")  # the table replaces the shuffle files that made it
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 

@@ -236,7 +236,7 @@ def _prefixes(replies: DataFrame, classes: DataFrame) -> DataFrame:
             own, times = tokens[a:b], counts[a:b]
             length = n - _needed(n) + 1 - (n - shared)
             rare = own[np.lexsort((own, times))[:length]]
-            rows.append({"uid": (base << 16) + idx, "n": n, "unshared": n - shared, "tokens": own.astype("<u8").tobytes(),
+            rows.append({"uid": (base << 16) + idx, "n": n, "unshared": n - shared, "tokens": _squeeze(own, 6),
                          "prefix": rare.astype(np.int64).tolist()})
         return rows
 
@@ -279,7 +279,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for x, y, nx, ny, ux, uy, tx, ty in zip(*(c.to_pylist() for c in batch.columns)):
-                a, b = np.frombuffer(tx, "<u8"), np.frombuffer(ty, "<u8")
+                a, b = _widen(tx, 6), _widen(ty, 6)
                 p, q = nx - _needed(nx) + 1 - ux, ny - _needed(ny) + 1 - uy
                 if meets(a[:p], b[:q]) and meets(a[-p:], b[-q:]):
                     both = len(np.intersect1d(a, b, assume_unique=True))
