@@ -17,9 +17,10 @@ is at least ``PERCENT`` / 100. Shingles are 64-bit hashes; equal sets are one cl
    position, are verified: the prefixes of the other two orders must meet, then
    the sets are intersected (an intersection only holds shared shingles).
    Lists aren't expanded at once: first each class meets the least class it
-   shares a list with, then the least of each of its lists, then, in lists that
-   still hold several components, members outside the list's largest component
-   meet all of another one. Links within a component need no proof.
+   shares a list with, then, in lists that still hold several components, every
+   member meets a few that a hash chooses, and last, members outside the list's
+   largest component meet all of other ones. Parity maps of the sets rule most
+   pairs without a link out. Links within a component need no proof.
 
 Every class pair that could link across components is verified, so components
 are exact (up to 64-bit and, within a pair, 48-bit hash collisions).
@@ -51,7 +52,12 @@ HOT_COUNT = 2 ** 31 - 1
 
 PACKED = "kind int, bucket int, base long, idx int, doc_id long, n long, sig binary, tokens binary, docs binary, key string"
 REPLY = "base long, idx int, n long, tokens binary, docs binary, counts binary"
-CLASS = "uid long, n long, unshared long, tokens binary, prefix array<long>"
+CLASS = "uid long, n long, unshared long, tokens binary, prefix array<long>, bits array<long>"
+#: Words of 64 bits in a class's parity map: each shared token flips one bit, so
+#: two maps differ in no more bits than the sets do in tokens.
+MAP_WORDS = 8
+#: Members of a list that all others meet in the second round.
+CHOSEN = 8
 DOC, TOKENS, HOT = 0, 1, 2
 
 
@@ -221,6 +227,12 @@ def _needed(n: np.ndarray | int):
     return -(-n * PERCENT // 100)
 
 
+def _parity_map(tokens: np.ndarray) -> list[int]:
+    """The low bits of a token's lower half choose the bit that it flips."""
+    flips = np.bincount((tokens % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def _prefixes(replies: DataFrame, classes: DataFrame) -> DataFrame:
     """Classes with enough shared tokens: the sorted tokens and the rarity prefix."""
     def settle(sizes, tokens, owner, counts):
@@ -237,7 +249,7 @@ def _prefixes(replies: DataFrame, classes: DataFrame) -> DataFrame:
             length = n - _needed(n) + 1 - (n - shared)
             rare = own[np.lexsort((own, times))[:length]]
             rows.append({"uid": (base << 16) + idx, "n": n, "unshared": n - shared, "tokens": _squeeze(own, 6),
-                         "prefix": rare.astype(np.int64).tolist()})
+                         "prefix": rare.astype(np.int64).tolist(), "bits": _parity_map(own)})
         return rows
 
     def run(batches):
@@ -301,6 +313,14 @@ def _may_link(a: str, b: str) -> str:
             f"{100 + PERCENT} * least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {PERCENT} * ({a}.n + {b}.n)")
 
 
+def _maps_allow(a: str, b: str) -> str:
+    """Bound by parity maps: the sets differ by both their unshared tokens and by
+    as many shared ones as bits differ (``unshared``, ``bits`` of each)."""
+    differ = " + ".join(f"bit_count({a}.bits[{k}] ^ {b}.bits[{k}])" for k in range(MAP_WORDS))
+    return (f"{100 + PERCENT} * ({a}.n + {b}.n - {a}.unshared - {b}.unshared - ({differ})) "
+            f">= {2 * PERCENT} * ({a}.n + {b}.n)")
+
+
 def _merge(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     """(uid, comp) of classes in components of two or more, after new edges."""
     if labels is None:
@@ -317,9 +337,24 @@ def _merge(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     return changed.unionByName(fresh)
 
 
-def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    return (lists.join(labels, "uid", "left")
-            .withColumn("comp", F.coalesce("comp", "uid")))
+def _mixed(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, str]:
+    """The lists that hold several components: members ``m``, a size class (partners
+    are at most one apart) and whether they stand outside the list's largest one."""
+    marked = lists.join(labels, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
+    largest = (marked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
+               .groupBy("token").agg(F.max_by("comp", "k").alias("top"), F.count(F.lit(1)).alias("comps"))
+               .filter("comps > 1").select("token", "top"))
+    size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int")
+    return stage(marked.join(largest, "token").join(sets.select("uid", "unshared", "bits"), "uid")
+                 .select("token", size.alias("size"), (F.col("comp") != F.col("top")).alias("minor"),
+                         F.struct("uid", "n", "pos", "comp", "unshared", "bits").alias("m")))
+
+
+def _pairs(joined: DataFrame) -> DataFrame:
+    """Distinct (x, y) of members ``a`` and ``b`` in different components that
+    may link by all bounds."""
+    return (joined.filter("a.comp <> b.comp").filter(_may_link("a", "b")).filter(_maps_allow("a", "b"))
+            .select(F.least("a.uid", "b.uid").alias("x"), F.greatest("a.uid", "b.uid").alias("y")).distinct())
 
 
 def _link(sets: DataFrame) -> DataFrame:
@@ -327,41 +362,31 @@ def _link(sets: DataFrame) -> DataFrame:
     spark = sets.sparkSession
     lists, lists_path = stage(sets.select("uid", "n", "unshared", F.posexplode("prefix").alias("i", "token"))
                               .select("token", "uid", "n", (F.col("unshared") + F.col("i")).alias("pos")))
-    least = (lists.groupBy("token").agg(F.min(F.struct("uid", "n", "pos")).alias("b"), F.count(F.lit(1)).alias("k"))
-             .filter("k > 1").select("token", "b"))
-    stars, stars_path = stage(
-        lists.join(least, "token").select(F.struct("uid", "n", "pos").alias("a"), "b")
-        .filter("a.uid <> b.uid").filter(_may_link("a", "b"))
-        .select(F.col("b.uid").alias("x"), F.col("a.uid").alias("y")).distinct())
 
     # 1: each class and the least class that shares a list with it
-    edges = _verify(stars.groupBy("y").agg(F.min("x").alias("x")), sets)
-    labels, labels_path = stage(_merge(None, edges))
-
-    # 2: the least class of each list, where still apart
-    at = {s: labels.select(F.col("uid").alias(s), F.col("comp").alias(f"c{s}")) for s in "xy"}
-    apart = (stars.join(at["x"], "x", "left").join(at["y"], "y", "left")
-             .filter(F.coalesce("cx", "x") != F.coalesce("cy", "y")).select("x", "y"))
-    second, second_path = stage(_merge(labels, _verify(apart, sets)))
-    drop_stage(spark, stars_path, labels_path)
-    labels = second
-
-    # 3: lists that still hold several components
-    marked = _labelled(lists, labels)
-    largest = (marked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-               .groupBy("token").agg(F.max_by("comp", "k").alias("top"), F.count(F.lit(1)).alias("comps"))
-               .filter("comps > 1").select("token", "top"))
-    mixed, mixed_path = stage(
-        marked.join(largest, "token")
-        .withColumn("size", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int")))
-    member = F.struct("uid", "n", "pos", "comp", (F.col("comp") != F.col("top")).alias("minor"))
-    outside = (mixed.filter("comp <> top")
-               .select("token", member.alias("a"), F.explode(F.array(*(F.col("size") + d for d in (-1, 0, 1)))).alias("size")))
-    others = mixed.select("token", "size", member.alias("b"))
-    rest, rest_path = stage(
-        outside.join(others, ["token", "size"])
-        .filter("a.comp <> b.comp AND (NOT b.minor OR a.uid < b.uid)").filter(_may_link("a", "b"))
-        .select(F.least("a.uid", "b.uid").alias("x"), F.greatest("a.uid", "b.uid").alias("y")).distinct())
+    least = (lists.groupBy("token").agg(F.min(F.struct("uid", "n", "pos")).alias("b"), F.count(F.lit(1)).alias("k"))
+             .filter("k > 1").select("token", "b"))
+    stars = (lists.join(least, "token").select(F.struct("uid", "n", "pos").alias("a"), "b")
+             .filter("a.uid <> b.uid").filter(_may_link("a", "b"))
+             .groupBy(F.col("a.uid").alias("y")).agg(F.min("b.uid").alias("x")))
+    labels, first_path = stage(_merge(None, _verify(stars, sets)))
+
+    # 2: all members of a list and a few chosen by hash; joins what a large group
+    # of near copies leaves apart, by as many pairs as there are members
+    mixed, mixed_path = _mixed(lists, labels, sets)
+    chosen = mixed.groupBy("token").agg(F.array(*(
+        F.min_by("m", F.xxhash64("m.uid", F.lit(k))) for k in range(CHOSEN))).alias("chosen"))
+    met, met_path = stage(_pairs(mixed.select("token", F.col("m").alias("a")).join(chosen, "token")
+                                 .select("a", F.explode(F.array_distinct("chosen")).alias("b"))))
+    labels, second_path = stage(_merge(labels, _verify(met, sets)))
+    drop_stage(spark, first_path, mixed_path, met_path)
+
+    # 3: whatever may still link across components
+    mixed, mixed_path = _mixed(lists, labels, sets)
+    outside = (mixed.filter("minor")
+               .select("token", F.col("m").alias("a"), F.explode(F.array(*(F.col("size") + d for d in (-1, 0, 1)))).alias("size")))
+    others = mixed.select("token", "size", "minor", F.col("m").alias("b"))
+    rest, rest_path = stage(_pairs(outside.join(others, ["token", "size"]).filter("NOT minor OR a.uid < b.uid")))
     labels, _ = stage(_merge(labels, _verify(rest, sets)))
     drop_stage(spark, lists_path, mixed_path, rest_path, second_path)
     return labels
