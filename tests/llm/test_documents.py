@@ -1,0 +1,247 @@
+"""Scans, quality, fingerprints, sharding, joins and the pipeline against brute force."""
+import collections
+import hashlib
+import random
+import re
+from math import comb
+
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from retail_signals.llm import fingerprint, ngram_join, pii, quality, secret_scan, sharding
+from retail_signals.llm.queries import QUERIES
+
+WORD = re.compile("[^\x20\x09-\x0D]+")
+SMALL = "/root/testdata/sf0.001"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, t, f"s{(i or 0) % 3}", "en", 1) for i, t in rows],
+                                 "doc_id long, text string, source string, lang string, row long").repartition(3)
+
+
+def mixed(parts, n, seed, sizes=(0, 1, 3, 8, 30)):
+    rnd = random.Random(seed)
+    rows = [(i, "".join(rnd.choice(parts) for _ in range(rnd.choice(sizes)))) for i in range(n)]
+    return rows + [(None, None), (None, "a"), (3, "token=abcdef"), (3, "token=abcdef")]
+
+
+# secrets
+ASSIGN = re.compile("(" + "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w) for w in (
+    "password", "passwd", "secret", "token", "api_?key")) + ")[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def base_secrets(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    kinds = ("assign", "access", "hex")
+    listed = ",".join(f"{kinds[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    return (*(sum(s[1] == k for s in spans) for k in range(3)), hashlib.sha256(listed.encode()).hexdigest())
+
+
+def test_secrets_against_brute_force(spark):
+    rows = mixed(["token", "Password", "API_key", "secret", "=", ":", '"', "'", " ", "a1b2c3", "abc", "AKIA",
+                  "ABCDEFGH12345678", "0123456789abcdef0123456789abcdef", "é", "😀", "\n", "ſecret", "toKen"], 500, 5)
+    out = secret_scan.digests(secret_scan.scan_documents(frame(spark, rows))).collect()
+    got = collections.Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in out)
+    assert got == collections.Counter((i, *base_secrets(t or "")) for i, t in rows)
+    assert secret_scan.scan_documents(frame(spark, []).limit(0)).count() == 0
+
+
+def test_ownership_separates_copied_from_live(spark):
+    shared, own = "token=Zk3" + "x9" * 10, "token=Qp7" + "k2" * 10
+    rows = [(i, shared) for i in range(6)] + [(6, own), (9, own)]
+    out = {r.doc_id: r.verdicts for r in secret_scan.digests(secret_scan.scan_documents(frame(spark, rows))).collect()}
+    assert out[0] == "example" and out[6] == out[9] == "live"
+
+
+# personal data
+PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+       "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def valid(kind, s):
+    digits = "".join(c for c in s if c in "0123456789")
+    if kind == "ip":
+        return all(int(x) <= 255 for x in s.split("."))
+    if kind == "card":
+        checksum = sum(sum(divmod(int(d) * (1 + k % 2), 10)) for k, d in enumerate(reversed(digits)))
+        return 16 <= len(digits) <= 19 and checksum % 10 == 0
+    return kind == "email" or 8 <= len(digits) <= 15
+
+
+def test_personal_data_against_brute_force(spark):
+    parts = ["a", "B", "1", "2", "@", ".", "-", "+", " ", "_", "%", "a@b.c", "4", "255", "256", "1.2.3.4", "é", "٣",
+             "4111111111111111", "4111 1111 1111 1111", "+49 30 1234567", "(", "\n"]
+    for _, text in mixed(parts, 8000, 3):
+        found = pii.find_spans(text or "")
+        for kind, pattern in PII.items():
+            assert found[kind] == [m.span() for m in re.finditer(pattern, text or "") if valid(kind, m.group())]
+    rows = mixed(parts, 100, 4)
+    assert pii.scan_documents(frame(spark, rows)).count() == len(rows)
+
+
+def test_added_kinds_need_checksum_or_context():
+    assert pii.find_spans("IBAN GB82 WEST 1234 5698 7654 32.")["iban"]
+    assert not pii.find_spans("IBAN GB83 WEST 1234 5698 7654 32.")["iban"]
+    assert pii.find_spans("ssn 123-45-6789")["ssn"] and not pii.find_spans("code 123-45-6789")["ssn"]
+    assert pii.redacted("mail a@b.co now") == "mail [EMAIL] now" and pii.redacted("") == ""
+
+
+# quality
+def measures(text):
+    words = WORD.findall(text)
+    seen = collections.Counter(tuple(words[k:k + 8]) for k in range(len(words) - 7))
+    covered = {j for k in range(len(words) - 7) if seen[tuple(words[k:k + 8])] > 1 for j in range(k, k + 8)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_quality_against_brute_force(spark):
+    rows = mixed(["a ", "b ", "c ", "\n", "\t", "é", "\xa0", "#", "*", "x y z a b c d e ", "\x1c", "\x85"], 400, 6, (0, 1, 5, 20, 100))
+    out = quality.judge_documents(frame(spark, rows)).collect()
+    got = collections.Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in out)
+    assert got == collections.Counter(
+        (i, *m, m[0] < 20 or 100 * m[4] > 30 * m[0]) for i, m in ((i, measures(t or "")) for i, t in rows))
+    kept = quality.filter_documents(frame(spark, rows))
+    assert kept.columns == frame(spark, rows).columns
+    assert sorted(r.text for r in kept.collect()) == sorted(t for _, t in rows if not quality.rejects(t or "", quality.RULES))
+    assert quality.judge_documents(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_order_of_rules_never_changes_the_verdict():
+    for _, text in mixed(["a ", "b ", "### ", "LOUD ", "word "], 300, 8, (5, 30, 60)):
+        assert quality.rejects(text or "", quality.RULES) == quality.rejects(text or "", quality.RULES[::-1])
+
+
+# fingerprints
+def test_edited_texts_and_next_documents(spark):
+    rows = mixed(["one ", "two ", "three ", "é", "😀 "], 300, 7, (0, 1, 6, 40, 200))
+    out = fingerprint.edited_digests(frame(spark, rows)).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    expected = collections.Counter()
+    for k, (i, text) in enumerate(order):
+        text, after = text or "", order[(k + 1) % len(order)][1] or ""
+        part = len(text) // 4
+        edited = text[:len(text) - part] + after[:part]
+        expected[(i, len(text), hashlib.sha256(edited.encode()).hexdigest(),
+                  fingerprint.to_text(fingerprint.sketch(text)), fingerprint.to_text(fingerprint.sketch(edited)))] += 1
+    assert collections.Counter(tuple(r)[:5] for r in out) == expected
+    assert fingerprint.edited_digests(frame(spark, []).limit(0)).count() == 0
+
+
+def test_sketches_merge_and_estimate_containment():
+    rnd = random.Random(2)
+    long = " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(8000))
+    short = " ".join(long.split()[2000:3000])
+    a, b = fingerprint.sketch(long), fingerprint.sketch(short)
+    assert fingerprint.likeness(a, b) > 0.97
+    assert (fingerprint.merge(a, b) == a).all() or len(fingerprint.merge(a, b)) <= len(a) + 8
+    assert (fingerprint.from_text(fingerprint.to_text(a)) == a).all()
+    assert fingerprint.likeness(fingerprint.sketch(""), fingerprint.sketch("")) == 1.0
+
+
+# sharding
+def test_shards_are_exact_and_slots_gapless(spark):
+    for n in (0, 1, 17, 1000):
+        rows = spark.range(n).toDF("doc_id").withColumn("shard", F.lit("old")).repartition(5)
+        out = sharding.shuffle_to_shards(rows, 16, seed=n, cell_rows=10).collect()
+        slots = collections.defaultdict(list)
+        for r in out:
+            slots[r.shard].append(r.slot)
+        assert sorted(r.doc_id for r in out) == list(range(n))
+        assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+        sizes = [len(slots[k]) for k in range(16)]
+        assert max(sizes) - min(sizes) <= 1
+
+
+def test_hypergeometric_draws_follow_the_exact_law(spark):
+    n, k, m, draws = 20, 8, 7, 20_000
+    got = collections.Counter(r[0] for r in spark.range(draws).selectExpr(
+        "id AS lo", "id AS hi", f"{n}L AS total", f"{m}L AS half", f"array({k}L, {n - k}L) AS cells")
+        .select(F.expr(sharding._left_half(5) + "[0]")).collect())
+    chi = sum((got[x] - e) ** 2 / e for x in range(m + 1)
+              if (e := draws * comb(k, x) * comb(n - k, m - x) / comb(n, m)) > 5)
+    assert chi < 25
+
+
+# n-gram join
+def linked(rows):
+    sets = []
+    for _, text in rows:
+        w = WORD.findall(re.sub("[A-Z]", lambda c: c.group().lower(), text or ""))
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                parent[root(a)] = root(b)
+    names = collections.defaultdict(list)
+    for k, (i, _) in enumerate(rows):
+        names[root(k)].append(i)
+    least = {r: min((i for i in own if i is not None), default=None) for r, own in names.items()}
+    return collections.Counter((i, len(sets[k]), least[root(k)] if sets[k] else i) for k, (i, _) in enumerate(rows)), len(names)
+
+
+def near_copies(n, seed):
+    rnd = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(60)]
+    bases = [[rnd.choice(vocabulary) for _ in range(rnd.choice([3, 5, 6, 8, 12, 30, 60]))] for _ in range(n // 8)]
+    passage, rows = [rnd.choice(vocabulary) for _ in range(25)], []
+    for i in range(n):
+        words = list(rnd.choice(bases)) + passage * (rnd.random() < .3)
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            k = rnd.randrange(len(words))
+            words[k:k + rnd.randint(0, 1)] = [rnd.choice(vocabulary)] * rnd.randint(0, 1)
+        rows.append((i * 3 % (2 * n + 1), " ".join(w.upper() if rnd.random() < .05 else w for w in words)))
+    return rows + [(10 ** 6, None), (10 ** 6 + 1, " \n"), (None, "a b c"), (None, None), (7, "a b c"), (7, "a b c")]
+
+
+def test_join_against_brute_force(spark, monkeypatch):
+    rows = near_copies(500, 1)
+    expected, groups = linked(rows)
+    for tokens, share in ((10 ** 6, 10 ** 5), (2000, 20)):
+        monkeypatch.setattr(ngram_join, "RUN_TOKENS", tokens)
+        monkeypatch.setattr(ngram_join, "HOT_SHARE", share)
+        out = ngram_join.link_documents(frame(spark, rows)).collect()
+        assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected
+        assert sum(r.keep for r in out) == groups
+
+
+def test_join_of_an_empty_table(spark):
+    assert ngram_join.deduplicate(frame(spark, []).limit(0)).count() == 0
+
+
+def test_pipeline_against_brute_force(spark):
+    docs = corpus_pipeline.documents(spark, SMALL).collect()
+    kept = [r for r in docs if not quality.rejects(r.text or "", quality.RULES)]
+    groups, _ = linked([(r.doc_id, r.text) for r in kept])
+    names = {i: name for i, _, name in groups}
+    expected = {r.doc_id for r in kept if names[r.doc_id] == r.doc_id}
+    out = corpus_pipeline.run(spark, SMALL).collect()
+    assert {r.doc_id for r in out} == expected
+    from tokenizers import Tokenizer
+
+    from retail_signals.llm.queries import JSON
+    library = Tokenizer.from_file(JSON)
+    size = {r.doc_id: len(library.encode(pii.redacted(r.text), add_special_tokens=False).ids) + 1
+            for r in kept if r.doc_id in expected}
+    got = collections.Counter()
+    for r in out:
+        got[r.doc_id] += r.length
+    assert got == size
+
+
+def test_every_query_runs_on_the_small_tables(spark):
+    n = corpus_pipeline.documents(spark, SMALL).count()
+    for name, query in QUERIES.items():
+        if name not in ("op4_sum_of_squares_packing", "op5_ngram_jaccard", "op8_best_fit_rows"):
+            assert query(spark, SMALL).count() == n, name
