@@ -20,12 +20,11 @@ def with_baseline(demand: DataFrame, window_rows: int = 14) -> DataFrame:
     """Add ``rolling_mean`` (null on the first row of a series) and
     ``forecast_units`` = coalesce(rolling_mean, units_sold, 0.0).
 
-    The frame is hash-partitioned by series first, so the window and the stock
-    fold that follows share one exchange.
+    The window partitions the frame by series (or uses a join's partitioning by
+    series), and the stock fold that follows shares that exchange.
     """
     mean = F.avg("units_sold").over(trailing_window(window_rows))
-    return (demand.repartition(*SERIES_KEYS)
-            .withColumn("rolling_mean", mean)
+    return (demand.withColumn("rolling_mean", mean)
             .withColumn("forecast_units",
                         F.coalesce(F.col("rolling_mean"), F.col("units_sold"), F.lit(0.0))))
 

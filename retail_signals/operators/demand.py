@@ -36,6 +36,11 @@ def unpivot_days(sales: DataFrame, lenient: bool = False) -> DataFrame:
     return sales.selectExpr(*ID_COLUMNS, f"stack({len(days)}, {pairs}) AS (d, units_sold)")
 
 
+def one_exchange(spark) -> bool:
+    """Whether Spark may join on a partitioning by some of the join keys."""
+    return spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "false"
+
+
 def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                   lenient: bool = False) -> DataFrame:
     """Attach date, week and events by ``d`` and the weekly price by
@@ -50,8 +55,12 @@ def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     to_date = F.try_to_date if lenient else F.to_date
     cal = calendar.select("d", "date", "wm_yr_wk", "event_name_1", "event_type_1")
     price = prices.select("store_id", "item_id", "wm_yr_wk", F.col("sell_price").alias("price"))
-    joined = (long_sales
-              .join(cal, on="d", how="left")
+    dated = long_sales.join(cal, on="d", how="left")
+    if one_exchange(long_sales.sparkSession):
+        # Both sides by series: the join, and later the window and the fold,
+        # use this one exchange of the sales.
+        dated, price = dated.repartition(*SERIES_KEYS), price.repartition(*SERIES_KEYS)
+    joined = (dated
               .join(price, on=["store_id", "item_id", "wm_yr_wk"], how="left"))
     date = F.col("date") if dict(calendar.dtypes)["date"] == "date" else to_date(F.col("date"))
     units = F.col("units_sold").cast("double")

@@ -42,8 +42,9 @@ def restock_units(cfg: SignalConfig = SignalConfig()) -> Column:
     return F.greatest(F.lit(0.0), gap).cast("int")
 
 
-def _sentence(pieces: tuple, qty: Column) -> Column:
-    parts = [qty if p is None else (F.col(p) if p in SENTENCE_COLUMNS else F.lit(p))
+def _sentence(pieces: tuple, qty: Column, cfg: SignalConfig) -> Column:
+    cover = f"{cfg.restock_cover_days:g}"
+    parts = [qty if p is None else (F.col(p) if p in SENTENCE_COLUMNS else F.lit(p.format(cover=cover)))
              for p in pieces]
     return F.concat_ws(" ", *parts)
 
@@ -55,25 +56,25 @@ def recommendation_text(cfg: SignalConfig = SignalConfig(), rule: Column | None
     qty = restock_units(cfg)
     expr = None
     for name, pieces in SENTENCE_BY_RULE.items():
-        text = _sentence(pieces, qty)
+        text = _sentence(pieces, qty, cfg)
         expr = F.when(rule == name, text) if expr is None else expr.when(rule == name, text)
-    return expr.otherwise(_sentence(SENTENCE_OTHERWISE, qty))
+    return expr.otherwise(_sentence(SENTENCE_OTHERWISE, qty, cfg))
 
 
 def recommend(anomalies: DataFrame, inventory: DataFrame,
               cfg: SignalConfig = SignalConfig()) -> DataFrame:
     """anomalies LEFT JOIN latest inventory row on (store, item) -> actions.
 
-    The action type depends on the rule alone, so duplicates on
-    (anomaly_id, action_type) are removed before the join, on narrow rows; the
-    latest-row side holds one row per series, so the join adds none.
+    The action type depends on the rule alone and the id on date, series and
+    rule, so equal narrow rows are the duplicates. They are removed on the
+    partitioning by series, which the join with the latest rows reuses.
     """
     latest = latest_rows(inventory).select(
         *SERIES_KEYS, F.col("date").alias("latest_date"), "closing_stock", "forecast_units",
         "dept_id", "cat_id")
     base = (anomalies.select("anomaly_id", "date", *SERIES_KEYS, "rule_name")
             .withColumn("action_type", action_type())
-            .dropDuplicates(["anomaly_id", "action_type"]))
+            .repartition(*SERIES_KEYS).distinct())
     return (base.join(latest, on=list(SERIES_KEYS), how="left")
             .select("anomaly_id", "date", *SERIES_KEYS, "action_type",
                     recommendation_text(cfg).alias("recommendation")))

@@ -6,19 +6,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SignalConfig
 from ..operators.baseline import with_baseline
-from ..operators.demand import build_demand, enrich_demand
+from ..operators.demand import SERIES_KEYS, build_demand, enrich_demand
 from ..operators.diagnose import diagnose_all, diagnose_one
 from ..operators.recommend import recommend
 from ..operators.rules import ANOMALY_COLUMNS, detect
 from ..operators.stock import inventory_table, project_stock
 from ..functions.checks import assert_unique
-from ..session import materialize
+from ..session import materialize, remove, write_text
 from ..sources.files import read_raw_inputs, read_table, table_path, write_table
 
 DIAGNOSIS_TABLE = "diagnosis"
@@ -32,6 +33,7 @@ class Tables:
     inventory: DataFrame
     anomalies: DataFrame
     recommendations: DataFrame
+    rejected: DataFrame
 
 
 # Demand columns the ledger, the rules and the recommendations read; the rest
@@ -40,15 +42,31 @@ LEDGER_INPUT = ("date", "store_id", "state_id", "item_id", "dept_id", "cat_id",
                 "price")
 
 
+def _usable():
+    keyed = F.col("date").isNotNull()
+    for key in SERIES_KEYS:
+        keyed = keyed & F.col(key).isNotNull()
+    return keyed
+
+
+def rejected_demand(demand: DataFrame) -> DataFrame:
+    """Demand rows without a date (their day is in no calendar row) or without a
+    store or item: a ledger needs a date order and a series, and their anomaly
+    ids would collide."""
+    return demand.filter(~_usable())
+
+
 def ledger_from_demand(demand: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
     """Baseline window and stock fold over one exchange by series.
 
     The result carries units_sold, price, ``rolling_mean`` and the ledger
     columns, which is all the rules need in one pass. Only those columns go
     through the fold: Spark cannot prune columns across the Python operator,
-    so the projection is made before it.
+    so the projection is made before it. Rows of :func:`rejected_demand` are
+    left out here, so every entry point treats them alike.
     """
-    return project_stock(with_baseline(demand.select(*LEDGER_INPUT), cfg.window_rows),
+    usable = demand.filter(_usable()).select(*LEDGER_INPUT)
+    return project_stock(with_baseline(usable, cfg.window_rows),
                          cfg.policy, partitioned_by_series=True)
 
 
@@ -64,7 +82,7 @@ def tables_from_ledger(demand: DataFrame, ledger: DataFrame,
     inventory = inventory_table(ledger)
     anomalies = detect(ledger, cfg).select(*ANOMALY_COLUMNS)
     return Tables(demand, forecast_from_ledger(ledger), inventory, anomalies,
-                  recommend(anomalies, inventory, cfg))
+                  recommend(anomalies, inventory, cfg), rejected_demand(demand))
 
 
 def build_all(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
@@ -98,10 +116,10 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
     earlier ones wrote, so the window and the Python fold run exactly once and
     a lost executor re-reads files instead of recomputing the fold.
 
-    Demand rows whose day has no calendar row (null date) stay in the demand
-    table, are also written to ``rejected_demand`` when there are any, and are
-    left out of the ledger and the rules: a ledger needs a date order, and
-    their ids would collide. ``check_keys`` first checks the dimension keys.
+    Rows without a date, store or item stay in the demand table and are written
+    to ``rejected_demand`` (empty when there are none); the ledger and the rules
+    leave them out. ``check_keys`` first checks the dimension keys. The ledger is
+    staged inside ``out_dir`` and removed at the end, also after an error.
     """
     if check_keys:
         check_inputs(sales, calendar, prices, long_form)
@@ -109,15 +127,12 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
               else build_demand(sales, calendar, prices, lenient))
     paths = {"processed_demand": write_table(demand, out_dir, "processed_demand")}
     demand = read_table(spark, out_dir, "processed_demand")
-    undated = demand.filter(F.col("date").isNull())
-    if undated.limit(1).count() > 0:
-        paths["rejected_demand"] = write_table(undated, out_dir, "rejected_demand")
-    ledger = materialize(ledger_from_demand(demand.filter(F.col("date").isNotNull()), cfg))
-    paths["forecast"] = write_table(forecast_from_ledger(ledger), out_dir, "forecast")
-    paths["inventory_fulfillment"] = write_table(inventory_table(ledger), out_dir,
-                                                 "inventory_fulfillment")
-    paths["validation_logs"] = write_table(detect(ledger, cfg).select(*ANOMALY_COLUMNS),
-                                           out_dir, "validation_logs")
+    paths["rejected_demand"] = write_table(rejected_demand(demand), out_dir, "rejected_demand")
+    folder = f"{str(out_dir).rstrip('/')}/_stage_{uuid4().hex}"
+    try:
+        _write_ledger_tables(spark, materialize(ledger_from_demand(demand, cfg), folder), out_dir, cfg, paths)
+    finally:
+        remove(spark, folder)
     anomalies = read_table(spark, out_dir, "validation_logs")
     inventory = read_table(spark, out_dir, "inventory_fulfillment")
     paths["recommendations"] = write_table(recommend(anomalies, inventory, cfg), out_dir,
@@ -125,6 +140,15 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
     return paths
 
 
+def _write_ledger_tables(spark: SparkSession, ledger: DataFrame, out_dir: str | Path, cfg: SignalConfig,
+                         paths: dict[str, str]) -> None:
+    paths["forecast"] = write_table(forecast_from_ledger(ledger), out_dir, "forecast")
+    paths["inventory_fulfillment"] = write_table(inventory_table(ledger), out_dir,
+                                                 "inventory_fulfillment")
+    paths["validation_logs"] = write_table(detect(ledger, cfg).select(*ANOMALY_COLUMNS),
+                                           out_dir, "validation_logs")
+
+
 def run_pipeline(spark: SparkSession, raw_dir: str | Path, out_dir: str | Path,
                  cfg: SignalConfig = SignalConfig(), lenient: bool = False,
                  check_keys: bool = False) -> dict[str, str]:
@@ -141,24 +165,18 @@ def run_diagnosis(spark: SparkSession, artifacts_dir: str | Path,
 
     Default: the top anomaly (or ``anomaly_id``), reading only its rows, with
     its report written to ``diagnosis_report.txt``. ``all_anomalies=True``
-    diagnoses every anomaly and writes the ``diagnosis`` Parquet table.
+    diagnoses every anomaly and writes the ``diagnosis`` Parquet table. Folders
+    may be on any file system that Spark knows; the report goes to the same one.
     """
     anomalies = read_table(spark, artifacts_dir, "validation_logs")
     inventory = read_table(spark, artifacts_dir, "inventory_fulfillment")
     recs = read_table(spark, artifacts_dir, "recommendations")
-    out = Path(out_dir) if out_dir is not None else Path(artifacts_dir)
+    out = str(out_dir if out_dir is not None else artifacts_dir).rstrip("/")
     if all_anomalies:
         result = diagnose_all(anomalies, inventory, recs)
         result.write.mode("overwrite").parquet(table_path(out, DIAGNOSIS_TABLE))
         return spark.read.parquet(table_path(out, DIAGNOSIS_TABLE))
     result = diagnose_one(anomalies, inventory, recs, anomaly_id)
-    text = result.select("explanation").first()["explanation"]
-    target = str(out_dir if out_dir is not None else artifacts_dir).rstrip("/")
-    if "://" in target:
-        # a shared store: one row written by Spark (a folder with one text part)
-        (spark.createDataFrame([(text,)], "value string").coalesce(1)
-         .write.mode("overwrite").text(f"{target}/{DIAGNOSIS_TEXT}"))
-    else:
-        out.mkdir(parents=True, exist_ok=True)
-        (out / DIAGNOSIS_TEXT).write_text(text, encoding="utf-8")
-    return result
+    kept = result.collect()  # one row: the report is computed once
+    write_text(spark, f"{out}/{DIAGNOSIS_TEXT}", kept[0]["explanation"])
+    return spark.createDataFrame(kept, result.schema)

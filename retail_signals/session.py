@@ -1,46 +1,49 @@
 """Helpers that read settings from the caller's session instead of replacing it."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a
+    folder in the session's warehouse (shared as well) where that is unset."""
+    return (spark.conf.get("spark.checkpoint.dir", None)
+            or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder and is used
-    as is. Only a local-mode session without that setting (tests, a laptop) gets
-    a private temporary folder, created once per application.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder (HDFS/S3/ABFS) "
-            "so that materialised stages survive the loss of an executor")
-    app = spark.conf.get("spark.app.id", "local")
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="retail-signals-ckpt-")
-    return _LOCAL_FALLBACK[app]
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` by writing it as a Parquet table into the
-    shared checkpoint folder and reading it back.
+
+def materialize(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Cut the lineage of ``df`` by writing it as a Parquet table into ``folder``
+    (by default the shared checkpoint folder) and reading it back.
 
     Used where one expensive stage (the stock fold) feeds several branches of a
     plan: the stage runs once (an RDD checkpoint would compute it a second time
     to write it), and a lost executor re-reads the files instead of recomputing
-    the fold.
+    the fold. Who names the folder removes it (``remove``).
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/retail_signals/{uuid.uuid4().hex}"
+    path = f"{folder or checkpoint_dir(spark)}/retail_signals/{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the file system that its path names."""
+    where, system = _file_system(spark, path)
+    system.delete(where, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small text file to the file system that its path names."""
+    where, system = _file_system(spark, path)
+    out = system.create(where, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()

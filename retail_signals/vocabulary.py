@@ -38,7 +38,7 @@ ACTION_OTHERWISE = "substitution_suggestion"
 # the restock quantity.
 SENTENCE_BY_RULE = {
     RULE_LOW_INVENTORY: ("Increase replenishment for", "item_id", "at", "store_id", "by", None,
-                         "units to restore 3-day forecast cover."),
+                         "units to restore {cover}-day forecast cover."),
     RULE_FULFILLMENT_DROP: ("Rebalance inventory to", "store_id", "for", "item_id",
                             "and prioritize fast replenishment lanes."),
     RULE_DEMAND_SPIKE: ("Activate demand surge plan for", "item_id", "in", "store_id",

@@ -36,7 +36,7 @@ def test_end_to_end(spark, tmp_path):
     raw.mkdir()
     _write_inputs(raw)
     paths = run_pipeline(spark, raw, out)
-    assert list(paths) == ["processed_demand", "forecast", "inventory_fulfillment",
+    assert list(paths) == ["processed_demand", "rejected_demand", "forecast", "inventory_fulfillment",
                            "validation_logs", "recommendations"]
     demand = spark.read.parquet(paths["processed_demand"])
     assert demand.count() == 4 * 60
@@ -88,3 +88,65 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["diagnose", str(out), "--anomaly-id", some_id], spark=spark) == 0
     report = capsys.readouterr().out
     assert f"Anomaly ID: {some_id}" in report and "Backfill missing price records" in report
+
+
+def test_bad_rows_are_treated_alike_and_nothing_is_left(spark, tmp_path):
+    from retail_signals.plans.jobs import build_all, run_tables
+    from retail_signals.sources.files import read_raw_inputs
+
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    _write_inputs(raw, days=30)
+    cal = (raw / "calendar.csv").read_text()
+    (raw / "calendar.csv").write_text("\n".join(cal.splitlines()[:-1]) + "\n")
+    sales, calendar, prices = read_raw_inputs(spark, raw)
+    nobody = sales.limit(1).withColumn("store_id", F.lit(None).cast("string"))
+    sales = sales.unionByName(nobody)
+    paths = run_tables(spark, sales, calendar, prices, out)
+    built = build_all(sales, calendar, prices)
+    for name, table in (("processed_demand", built.demand), ("rejected_demand", built.rejected),
+                        ("forecast", built.forecast), ("inventory_fulfillment", built.inventory),
+                        ("validation_logs", built.anomalies), ("recommendations", built.recommendations)):
+        written = spark.read.parquet(paths[name])
+        cols = table.columns
+        assert sorted(written.select(cols).collect(), key=str) == sorted(table.collect(), key=str), name
+    assert spark.read.parquet(paths["rejected_demand"]).count() == 4 + 30
+    assert sorted(p.name for p in out.iterdir()) == sorted(f"{n}.parquet" for n in paths)
+    (raw / "calendar.csv").write_text(cal)
+    again = run_pipeline(spark, raw, out)
+    assert spark.read.parquet(again["rejected_demand"]).count() == 0
+
+
+def test_reports_go_to_the_named_file_system(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    _write_inputs(raw, days=40)
+    run_pipeline(spark, f"file://{raw}", f"file://{out}")
+    report = run_diagnosis(spark, f"file://{out}", f"file://{tmp_path}/reports").first()
+    assert (tmp_path / "reports" / "diagnosis_report.txt").read_text() == report.explanation
+    assert run_diagnosis(spark, f"file://{out}", f"file://{tmp_path}/reports", all_anomalies=True).count() > 0
+    assert (tmp_path / "reports" / "diagnosis.parquet").exists()
+
+
+def test_files_that_order_columns_differently_fail(spark, tmp_path):
+    import pytest
+    from retail_signals.sources.files import read_prices_csv
+
+    folder = tmp_path / "prices"
+    folder.mkdir()
+    (folder / "a.csv").write_text("store_id,item_id,wm_yr_wk,sell_price\ns,i,1,2.0\n")
+    (folder / "b.csv").write_text("item_id,store_id,wm_yr_wk,sell_price\ni,s,1,2.0\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_prices_csv(spark, str(folder)).collect()
+
+
+def test_restock_text_follows_the_setting(spark):
+    from retail_signals import SignalConfig
+    from retail_signals.operators.recommend import recommendation_text
+
+    row = spark.createDataFrame([("low_inventory", "i", "s", "c", 2, 10.0)],
+                                "rule_name string, item_id string, store_id string, cat_id string, "
+                                "closing_stock int, forecast_units double")
+    for days, text in ((3.0, "by 28 units to restore 3-day"), (7.5, "by 73 units to restore 7.5-day")):
+        got = row.select(recommendation_text(SignalConfig(restock_cover_days=days))).first()[0]
+        assert got == f"Increase replenishment for i at s {text} forecast cover."

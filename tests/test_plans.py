@@ -34,6 +34,35 @@ def test_one_exchange_from_demand_to_anomalies(spark, capsys):
     assert "Union" not in plan
 
 
+def test_sales_are_exchanged_once(spark, capsys):
+    """From sales and prices to anomalies, with no broadcast: the sales and the
+    prices are dealt out once each, by series; duplicate prices still fan out."""
+    from retail_signals.operators.demand import enrich_demand
+    d0 = dt.date(2016, 1, 1)
+    sales = spark.createDataFrame(
+        [(f"s{s}", "i", "st", "dep", "c", f"d_{k}", float(k % 9)) for s in range(3) for k in range(20)],
+        "store_id string, item_id string, state_id string, dept_id string, cat_id string, d string, units_sold double")
+    cal = spark.createDataFrame([(f"d_{k}", d0 + dt.timedelta(days=k), k // 7, None, None) for k in range(20)],
+                                "d string, date date, wm_yr_wk int, event_name_1 string, event_type_1 string")
+    prices = spark.createDataFrame([("s0", "i", 0, 1.0), ("s0", "i", 0, 2.0), ("s1", "i", 1, 3.0)],
+                                   "store_id string, item_id string, wm_yr_wk int, sell_price double")
+    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    plain = sorted(enrich_demand(sales, cal, prices).collect(), key=str)
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        demand = enrich_demand(sales, cal, prices)
+        assert sorted(demand.collect(), key=str) == plain and len(plain) == 67
+        plan = _plan(detect(ledger_from_demand(demand, SignalConfig())), capsys)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert sum("store_id" in k for k in keys) == 2, plan      # sales and prices, once each
+    assert sum(k.startswith("d#") for k in keys) == 2, plan   # the calendar join, broadcast as a rule
+
+
 def test_sales_key_check(spark):
     sales = spark.createDataFrame([("s", "i", "d_1"), ("s", "i", "d_1")],
                                   "store_id string, item_id string, d string")
