@@ -151,7 +151,7 @@ def _sentence_sql(pieces) -> str:
     qty = (f"CAST(CAST(greatest({dbl(0.0)}, ceil(l.forecast_units * {dbl(CFG.restock_cover_days)}"
            f" - l.closing_stock)) AS INTEGER) AS VARCHAR)")
     cols = {"item_id": "a.item_id", "store_id": "a.store_id", "cat_id": "l.cat_id"}
-    parts = [qty if p is None else cols.get(p, q(p)) for p in pieces]
+    parts = [qty if p is None else cols.get(p, q(p.format(cover="3"))) for p in pieces]
     return "concat_ws(' ', " + ", ".join(parts) + ")"
 
 
@@ -264,7 +264,8 @@ SELECT date, store_id, item_id, coalesce(rolling_mean, units_sold, {dbl(0.0)}) A
 FROM base""",
     "forecast_attach": _with(INPUTS) + f"""
 SELECT date, store_id, item_id, units_sold,
-       coalesce(coalesce(rolling_mean, units_sold, {dbl(0.0)}), units_sold) AS forecast_units
+       CASE WHEN (CAST(floor((date - DATE '1995-01-01') / 7.0) AS BIGINT) % 3 + 3) % 3 = 0 THEN units_sold
+            ELSE coalesce(coalesce(rolling_mean, units_sold, {dbl(0.0)}), units_sold) END AS forecast_units
 FROM base""",
     "stock_projection": _with(INPUTS, LEDGER) + f"SELECT {LEDGER_COLS} FROM ledger",
     "rule_demand_spike": _with(INPUTS) + RULE_SQL["demand_spike"],
@@ -297,3 +298,7 @@ WHERE b.anomaly_id = (
   SELECT anomaly_id FROM anoms
   ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, date DESC, anomaly_id
   LIMIT 1)"""
+ORACLE_SQL["diagnosis_stored"] = ORACLE_SQL["diagnosis_best"]
+ORACLE_SQL["demand_from_csv"] = ORACLE_SQL["demand_timeseries"] + " WHERE units_sold IS NOT NULL"
+ORACLE_SQL["pipeline_tables"] = _with(*_ALL) + """
+SELECT anomaly_id, date, store_id, item_id, action_type, recommendation FROM recs"""

@@ -1,28 +1,29 @@
 """Registered queries over the test tables (see ``__spark_entry__``).
 
-Each takes (spark, sf_dir) and returns a lazy DataFrame over the whole
-tables. Queries whose plan would run the stock fold in two branches
-materialise the ledger first (a Parquet table in the checkpoint folder), so the
-fold runs once.
+Each takes (spark, sf_dir) and returns a DataFrame over the whole tables. The
+daily facts, and the ledger where two branches need it, are written first as
+Parquet tables in the checkpoint folder, so building a query starts those jobs.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SignalConfig
 from ..operators.baseline import attach_forecast, build_forecast, with_baseline
-from ..operators.demand import enrich_demand, unpivot_days
-from ..operators.diagnose import candidate_rows, diagnose_all, diagnose_one, top_anomaly
+from ..operators.demand import build_demand, enrich_demand, unpivot_days
+from ..operators.diagnose import candidate_rows, diagnose_all, top_anomaly
 from ..operators.recommend import latest_rows, recommend
 from ..operators.rules import (ANOMALY_COLUMNS, demand_drops, demand_spikes, detect,
                                fulfillment_drops, low_inventory, missing_prices, union_rules)
 from ..operators.stock import inventory_table
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from ..sources import testdata
-from .jobs import ledger_from_demand
+from ..sources.files import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_inputs
+from .jobs import ledger_from_demand, run_tables
 
 CFG = SignalConfig()
 
@@ -68,10 +69,16 @@ def q_forecast_rolling_mean(spark, sf):
     return build_forecast(demand(spark, sf), CFG.window_rows)
 
 
+def _lacking():
+    return F.pmod(F.floor(F.datediff(F.col("date"), F.lit("1995-01-01").cast("date")) / 7), F.lit(3)) == 0
+
+
 def q_forecast_attach(spark, sf):
-    d = demand(spark, sf)
-    return attach_forecast(d, build_forecast(d, CFG.window_rows)).select(
-        "date", "store_id", "item_id", "units_sold", "forecast_units")
+    """An outside forecast that lacks every third week: those days fall back to
+    the day's units."""
+    d = materialize(demand(spark, sf))
+    known = build_forecast(d, CFG.window_rows).filter(~_lacking())
+    return attach_forecast(d, known).select("date", "store_id", "item_id", "units_sold", "forecast_units")
 
 
 def q_stock_projection(spark, sf):
@@ -99,8 +106,8 @@ def q_rule_missing_price(spark, sf):
 
 
 def q_anomalies_all(spark, sf):
-    d = demand(spark, sf)
-    return union_rules(with_baseline(d, CFG.window_rows), ledger_from_demand(d, CFG), CFG)
+    led = materialize(ledger(spark, sf))
+    return union_rules(led, led, CFG)
 
 
 def q_anomalies_fused(spark, sf):
@@ -139,9 +146,47 @@ def q_diagnosis_best(spark, sf):
 
 
 def q_diagnosis_top(spark, sf):
-    """The reference's own use: diagnose the top anomaly, reading only its rows."""
-    return diagnose_one(*_stored(spark, sf)).select("anomaly_id", "best_candidate",
-                                                    "best_score", "explanation")
+    """The one-anomaly use: the top anomaly's series alone is read from the
+    ledger for its context and its recommendations."""
+    led = materialize(ledger(spark, sf))
+    top = top_anomaly(detect(led, CFG).select(*ANOMALY_COLUMNS)).collect()
+    row = spark.createDataFrame(top, detect(led, CFG).select(*ANOMALY_COLUMNS).schema)
+    series = F.lit(False)
+    for found in top:
+        series = (F.col("store_id") == found["store_id"]) & (F.col("item_id") == found["item_id"])
+    inventory = inventory_table(led.filter(series))
+    return diagnose_all(row, inventory, recommend(row, inventory, CFG), CFG).select(
+        "anomaly_id", "best_candidate", "best_score", "explanation")
+
+
+def q_diagnosis_stored(spark, sf):
+    """Every anomaly, with its recommendations joined from their table."""
+    anomalies, inventory, recommendations = _stored(spark, sf)
+    return diagnose_all(anomalies, inventory, materialize(recommendations), CFG).select(
+        "anomaly_id", "best_candidate", "best_score", "explanation")
+
+
+def q_demand_from_csv(spark, sf):
+    """The CSV path: wide sales, calendar and prices written as CSV into the
+    checkpoint folder, read by the typed readers, built into the demand table."""
+    raw = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    _, calendar, prices = testdata.inputs(spark, sf)
+    wide = testdata.wide_sales(spark, sf)
+    wide = wide if "id" in wide.columns else wide.withColumn("id", F.concat_ws("_", "item_id", "store_id"))
+    for name, df in ((SALES_FILE, wide), (CALENDAR_FILE, calendar), (PRICES_FILE, prices)):
+        df.write.option("header", True).csv(f"{raw}/{name}")
+    sales, calendar, prices = read_raw_inputs(spark, raw)
+    return build_demand(sales, calendar, prices).filter("units_sold IS NOT NULL")
+
+
+def q_pipeline_tables(spark, sf):
+    """The whole job: the tables written, read back and laid one under another."""
+    out = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    sales, calendar, prices = testdata.inputs(spark, sf)
+    paths = run_tables(spark, sales, calendar, prices, out, CFG, long_form=True)
+    anomalies = spark.read.parquet(paths["validation_logs"]).select("anomaly_id", "date", "store_id", "item_id")
+    actions = spark.read.parquet(paths["recommendations"]).select("anomaly_id", "action_type", "recommendation")
+    return anomalies.join(actions, "anomaly_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -165,4 +210,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnosis_candidates": q_diagnosis_candidates,
     "diagnosis_best": q_diagnosis_best,
     "diagnosis_top": q_diagnosis_top,
+    "diagnosis_stored": q_diagnosis_stored,
+    "demand_from_csv": q_demand_from_csv,
+    "pipeline_tables": q_pipeline_tables,
 }
