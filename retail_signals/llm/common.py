@@ -76,6 +76,11 @@ def worker_state(name: str, make: Callable):
     return store[name]
 
 
+def forget_state() -> None:
+    """Drop what earlier operators left in this Python worker."""
+    sys.modules.pop("_retail_signals_llm_state", None)
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 128) -> Iterator[pa.RecordBatch]:
     """Short runs of rows, so that Python copies of texts stay small."""
     for batch in batches:

@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import byte_words, drop_stage, fresh, record_batch, shingle_hashes, stage, text_of
+from .common import byte_words, drop_stage, forget_state, fresh, record_batch, shingle_hashes, stage, text_of
 from .components import components
 
 PERCENT = 80
 RUN = 4096
-RUN_TOKENS = 1_000_000
+RUN_TOKENS = 500_000
 TOKEN_BITS = 48
 HOT_SHARE = 100_000
 HOT_IN_RUN = 8
@@ -119,6 +119,7 @@ def _pack(df: DataFrame, bits: int) -> DataFrame:
         return _rows(PACKED, rows)
 
     def run(batches):
+        forget_state()
         part, runs = TaskContext.get().partitionId(), 0
         docs, sets, held = [], [], 0
         for batch in batches:

@@ -28,7 +28,7 @@ _UNIT = re.compile(r" *[^ \n]+|\n[^ \n]*| +")
 class PieceCounter:
     """Counts tokens of a sentencepiece model unit by unit, with a bounded cache."""
 
-    def __init__(self, model: str, room: int = 700_000):
+    def __init__(self, model: str, room: int = 400_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)

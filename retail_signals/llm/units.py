@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import base64
 import re
+from functools import cached_property
 from itertools import chain
+from json import load
 
 import numpy as np
 
@@ -37,7 +39,7 @@ class ByteBpe:
     library's default); without it every string is ordinary text.
     """
 
-    def __init__(self, ranks_path: str, pattern: str, json: str | None = None, room: int = 700_000):
+    def __init__(self, ranks_path: str, pattern: str, json: str | None = None, room: int = 300_000):
         import tiktoken
 
         with open(ranks_path, "rb") as f:
@@ -46,18 +48,23 @@ class ByteBpe:
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
-        self.special, self.full = (), None
+        self.json, self.special = json, ()
         if json:
-            from tokenizers import Tokenizer
-
-            self.full = Tokenizer.from_file(json)
-            self.special = tuple(t.content for t in self.full.get_added_tokens_decoder().values())
+            with open(json, encoding="utf-8") as f:
+                self.special = tuple(t["content"] for t in load(f)["added_tokens"])
         self.cache: dict[str, bytes] = {}
         self.room = room
 
+    @cached_property
+    def full(self):
+        """The tokenizers library's own object; most texts never need it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.json)
+
     def plain(self, text: str) -> bytes:
         """One text by the library itself."""
-        if self.full is not None:
+        if self.json:
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return np.array(self.library.encode_ordinary(text), "<u4").tobytes()
 
