@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,7 +43,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*+")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])*+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))")
 _SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -57,6 +59,16 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def iban_end(text: str, start: int, end: int) -> int | None:
+    """The last end of a group of letters and digits at which text[start:end],
+    from its start, passes; capitals after an IBAN may run on into the match."""
+    while end - start >= 15:
+        if not text[end:end + 1].isalnum() and mod97(text[start:end]):
+            return end
+        end = start + max(text[start:end].rfind(" "), 0)
+    return None
+
+
 def emails(text: str) -> list[tuple[int, int]]:
     """Leftmost matches of local@domain: the local part is the run of its
     characters before an "@", from the end of the last match on."""
@@ -119,13 +131,18 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     if "+" in text:
         out["phone"] = [m.span() for m in _PHONE.finditer(text)
                         if 8 <= sum(map(str.isdigit, m.group())) <= 15]
+    free = 0
     for m in _IBAN.finditer(text):
-        if (m.start() == 0 or not text[m.start() - 1].isalnum()) and mod97(m.group()):
-            proposed.append(("iban", *m.span(), True))
+        end = iban_end(text, *m.span(1)) if m.start() >= free else None
+        if end:
+            proposed.append(("iban", m.start(), end, True))
+            free = end
     taken = sorted(s for k in BASE_KINDS for s in out[k])
+    starts = [s for s, _ in taken]
+    reached = list(accumulate((e for _, e in taken), max, initial=0))
     for kind, start, end, checked in sorted(proposed, key=lambda p: p[1:3]):
         if (score(kind, text, start, end, checked) >= MIN_SCORE
-                and not any(s < end and start < e for s, e in taken)):
+                and reached[bisect_left(starts, end)] <= start):
             out[kind].append((start, end))
     return out
 
