@@ -1,4 +1,108 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+Patterns and limits are stated here again, apart from the operators' own.
+"""
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+
+def _either_case(word: str) -> str:
+    """A pattern for the word's ASCII letters in either case (RE2's own flag
+    would also fold two letters outside ASCII)."""
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_NAMES = "|".join(map(_either_case, ("password", "passwd", "secret", "token", "api_?key")))
+
+#: Number, name, pattern (quotes doubled for SQL) and value group of each kind of secret.
+_SECRETS = (
+    (0, "assign", f"({_NAMES})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)", 2),
+    (1, "access", "AKIA[A-Z0-9]+", 0),
+    (2, "hex", "[0-9a-f]+", 0),
+    (3, "provider", "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
+                    "|eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}", 0),
+    (4, "private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[ \\t\\n\\x0B\\f\\r]{0,4}[A-Za-z0-9+/=]{0,64}", 0),
+)
+
+_FOUND = "\nUNION ALL\n".join(
+    f"""SELECT r, {no} AS k, '{name}' AS kind, unnest(regexp_split_to_array(t, '{p}')[:len(regexp_extract_all(t, '{p}'))]) AS gap,
+       unnest(regexp_extract_all(t, '{p}')) AS found, unnest(regexp_extract_all(t, '{p}', {group})) AS value,
+       generate_subscripts(regexp_extract_all(t, '{p}'), 1) AS i
+FROM docs WHERE regexp_matches(t, '{p}')""" for no, name, p, group in _SECRETS)
+
+OP2 = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source AS owner, concat_ws('/', source, lang) AS repository,
+         coalesce(text, '') AS t FROM documents),
+found AS ({_FOUND}),
+placed AS (
+  SELECT *, sum(length(gap) + length(found)) OVER (PARTITION BY r, k ORDER BY i) AS ends FROM found),
+spans AS (
+  SELECT r, k, kind, CAST(ends - length(found) AS BIGINT) AS starts, CAST(ends AS BIGINT) AS ends, value FROM placed
+  WHERE CASE k WHEN 0 THEN length(value) >= 6 WHEN 1 THEN length(found) >= 20
+               WHEN 2 THEN length(found) >= 24 ELSE true END),
+owners AS (
+  SELECT value, count(*) AS n_owners
+  FROM (SELECT DISTINCT s.value, d.owner FROM spans s JOIN docs d USING (r)) GROUP BY value),
+judged AS (
+  SELECT s.*, kind || ':' || starts || ':' || ends AS span,
+         CASE WHEN n_owners >= 3 THEN 'example'
+              WHEN length(value) >= 16 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+                   AND NOT regexp_matches(value, '(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{{8}}|1234567')
+              THEN 'live' ELSE 'weak' END AS verdict
+  FROM spans s JOIN owners USING (value)),
+listed AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY starts, k) FILTER (k < 3) AS base,
+         string_agg(span, ',' ORDER BY starts, k) AS spans,
+         string_agg(verdict, ',' ORDER BY starts, k) AS verdicts,
+         count(*) FILTER (verdict = 'live') AS n_live
+  FROM judged GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(verdicts, '') AS verdicts, coalesce(n_live, 0) AS n_live
+FROM docs LEFT JOIN listed USING (r)
+"""
+
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
+OP10 = f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT r, unnest(regexp_extract_all(t, '{_WORD}')) AS word,
+         generate_subscripts(regexp_extract_all(t, '{_WORD}'), 1) AS i FROM docs),
+windows AS (
+  SELECT r, i, word, lag(word) OVER w AS before,
+         CASE WHEN lead(word, 7) OVER w IS NOT NULL THEN concat_ws(' ', word,
+           {", ".join(f"lead(word, {j}) OVER w" for j in range(1, 8))}) END AS span
+  FROM words WINDOW w AS (PARTITION BY r ORDER BY i)),
+counted AS (
+  SELECT r, i, word, before, span IS NOT NULL AND count(*) OVER (PARTITION BY r, span) > 1 AS again FROM windows),
+covered AS (
+  SELECT *, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS repeated
+  FROM counted),
+by_words AS (
+  SELECT r, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars,
+         count(*) FILTER (repeated) AS n_repeat_words,
+         count(*) FILTER (regexp_matches(word, '[A-Z]') AND NOT regexp_matches(word, '[a-z]')) AS n_loud,
+         count(*) FILTER (word = before) AS n_stutter
+  FROM covered GROUP BY r),
+by_lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '{_WORD}') GROUP BY r),
+measured AS (
+  SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_loud, 0) AS n_loud, coalesce(n_stutter, 0) AS n_stutter
+  FROM docs LEFT JOIN by_words USING (r) LEFT JOIN by_lines USING (r))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > 3 * n_words
+            OR 2 * n_loud > n_words OR 3 * n_stutter > n_words
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+FROM measured
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_secret_ownership": OP2, "op10_quality_cascade": OP10}
