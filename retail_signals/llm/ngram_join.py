@@ -34,12 +34,14 @@ from __future__ import annotations
 from hashlib import blake2b, md5
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from .common import byte_words, drop_stage, forget_state, fresh, record_batch, shingle_hashes, stage, text_of
+from .common import (byte_words, drop_stage, forget_state, fresh, record_batch, shingle_hashes, slices,
+                     stage, text_of)
 from .components import components
 
 PERCENT = 80
@@ -79,6 +81,14 @@ def _rows(schema: str, rows: list[dict]):
     return record_batch(schema, {c: [r.get(c) for r in rows] for c in _columns(schema)})
 
 
+def _cuts(batches, rows: int = 512):
+    """Short runs of rows, so that Python copies of them stay small; what a batch
+    leaves behind goes back to the system before the next one."""
+    for batch in batches:
+        yield from slices([batch], rows)
+        pa.default_memory_pool().release_unused()
+
+
 def _bucket_bits(df: DataFrame) -> int:
     """Four buckets or more for each shuffle partition, so that what meets in
     one bucket shrinks as partitions are added."""
@@ -122,16 +132,14 @@ def _pack(df: DataFrame, bits: int) -> DataFrame:
         forget_state()
         part, runs = TaskContext.get().partitionId(), 0
         docs, sets, held = [], [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                cut = batch.slice(at, 64)
-                for doc, text in zip(cut.column(0).to_pylist(), cut.column(1).to_pylist()):
-                    docs.append((doc, row_key(doc, text)))
-                    sets.append(shingle_hashes(byte_words(text)))
-                    held += len(sets[-1])
-                    if len(docs) == RUN or held >= RUN_TOKENS:
-                        yield flush((part << 24) + runs, docs, sets)
-                        docs, sets, held, runs = [], [], 0, runs + 1
+        for cut in _cuts(batches, 64):
+            for doc, text in zip(cut.column(0).to_pylist(), cut.column(1).to_pylist()):
+                docs.append((doc, row_key(doc, text)))
+                sets.append(shingle_hashes(byte_words(text)))
+                held += len(sets[-1])
+                if len(docs) == RUN or held >= RUN_TOKENS:
+                    yield flush((part << 24) + runs, docs, sets)
+                    docs, sets, held, runs = [], [], 0, runs + 1
         if docs:
             yield flush((part << 24) + runs, docs, sets)
 
@@ -162,7 +170,7 @@ def _count(packed: DataFrame, bits: int, hot: np.ndarray) -> DataFrame:
 
     def route(batches):
         """Split hot tokens off; their rows need no counting and go anywhere."""
-        for batch in batches:
+        for batch in _cuts(batches):
             rows = []
             for bucket, base, data, docs in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = _widen(data, width)
@@ -199,7 +207,7 @@ def _count(packed: DataFrame, bits: int, hot: np.ndarray) -> DataFrame:
 
     def run(batches):
         current, held = None, []
-        for batch in batches:
+        for batch in _cuts(batches):
             out = []
             for bucket, base, data, docs in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket < 0:
@@ -259,7 +267,7 @@ def _prefixes(replies: DataFrame, classes: DataFrame) -> DataFrame:
         def close():
             return settle(sizes, *map(np.concatenate, (tokens, owner, counts))) if sizes and tokens else []
 
-        for batch in batches:
+        for batch in _cuts(batches):
             for base, idx, n, data, docs, times in zip(*(c.to_pylist() for c in batch.columns)):
                 if base != current:
                     if rows := close():
@@ -289,7 +297,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return len(np.intersect1d(a, b, assume_unique=True)) > 0
 
     def run(batches):
-        for batch in batches:
+        for batch in _cuts(batches):
             rows = []
             for x, y, nx, ny, ux, uy, tx, ty in zip(*(c.to_pylist() for c in batch.columns)):
                 a, b = _widen(tx, 6), _widen(ty, 6)
@@ -298,7 +306,8 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     if 100 * both >= PERCENT * (nx + ny - both):
                         rows.append({"x": x, "y": y})
-            yield _rows(schema, rows)
+            if rows:
+                yield _rows(schema, rows)
 
     def side(s):
         return sets.select(F.col("uid").alias(s), F.col("n").alias(f"n{s}"), F.col("unshared").alias(f"u{s}"),
