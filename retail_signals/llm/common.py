@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 
 #: Spark's setting to delete a query's shuffle files when the query has ended.
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's limit of an Arrow batch's bytes; its default counts rows only, so a
+#: batch of long texts or large sets has no bound.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Settings of a staged table's write: the table replaces the shuffle files that
+#: made it, and Python workers get small batches.
+STAGE_SETTINGS = {CLEAN_UP: "true", BATCH_BYTES: "4m"}
 
 ARROW_TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
@@ -37,12 +43,17 @@ def stage(df: DataFrame) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{stage_dir(spark)}/llm/{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEAN_UP, "false")
-    spark.conf.set(CLEAN_UP, "true")  # the table replaces the shuffle files that made it
+    before = {k: spark.conf.get(k, None) for k in STAGE_SETTINGS}
+    for k, v in STAGE_SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEAN_UP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path), path
 
 
