@@ -299,6 +299,12 @@ WHERE b.anomaly_id = (
   ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, date DESC, anomaly_id
   LIMIT 1)"""
 ORACLE_SQL["diagnosis_stored"] = ORACLE_SQL["diagnosis_best"]
+_prompts = " ".join(f"WHEN {q(name)} THEN {q(prompt)}" for name, prompt in CANDIDATES)
+ORACLE_SQL["diagnosis_rounds"] = _with(*_ALL, _diag_sql()) + f"""
+SELECT anomaly_id, string_agg(concat_ws(' | ', CAST(round AS VARCHAR), candidate_name,
+         CASE candidate_name {_prompts} END, CAST(score AS VARCHAR), score_notes, response),
+         {NL} ORDER BY round) AS rounds_text
+FROM cands GROUP BY anomaly_id"""
 ORACLE_SQL["demand_from_csv"] = ORACLE_SQL["demand_timeseries"] + " WHERE units_sold IS NOT NULL"
 ORACLE_SQL["pipeline_tables"] = _with(*_ALL) + """
 SELECT anomaly_id, date, store_id, item_id, action_type, recommendation FROM recs"""

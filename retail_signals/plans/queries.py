@@ -166,6 +166,15 @@ def q_diagnosis_stored(spark, sf):
         "anomaly_id", "best_candidate", "best_score", "explanation")
 
 
+def q_diagnosis_rounds(spark, sf):
+    """The ``rounds`` record of every anomaly as text: number, candidate, system
+    prompt, score, notes and response of each round."""
+    line = F.transform("rounds", lambda r: F.concat_ws(
+        " | ", r["round"].cast("string"), r["candidate_name"], r["system_prompt"],
+        r["score"].cast("string"), F.array_join(r["score_notes"], "; "), r["response"]))
+    return _diagnosis(spark, sf).select("anomaly_id", F.array_join(line, "\n").alias("rounds_text"))
+
+
 def q_demand_from_csv(spark, sf):
     """The CSV path: wide sales, calendar and prices written as CSV into the
     checkpoint folder, read by the typed readers, built into the demand table."""
@@ -211,6 +220,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnosis_best": q_diagnosis_best,
     "diagnosis_top": q_diagnosis_top,
     "diagnosis_stored": q_diagnosis_stored,
+    "diagnosis_rounds": q_diagnosis_rounds,
     "demand_from_csv": q_demand_from_csv,
     "pipeline_tables": q_pipeline_tables,
 }

@@ -90,6 +90,10 @@ def test_golden_report(spark):
     assert len(GOLDEN_REPORT) == 793
     assert out.explanation == GOLDEN_REPORT
     assert [r.score for r in out.rounds] == [13, 13, 11]
+    assert [r.system_prompt for r in out.rounds] == [
+        "You are a supply-chain incident analyst. Explain anomaly, root cause, and recommendations with operational context.",
+        "You are an RCA specialist. Produce incident summary, root cause, operational context, and action plan in structured form.",
+        "You are a decision-intelligence assistant. Create an executive brief with deviation, why, and immediate actions."]
     assert out.best_candidate == "baseline_analyst" and out.best_score == 13
 
 
