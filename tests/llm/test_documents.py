@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from retail_signals.llm import fingerprint, ngram_join, pii, quality, secret_scan, sharding
+from retail_signals.llm import common, fingerprint, ngram_join, pii, quality, secret_scan, sharding
 from retail_signals.llm.queries import QUERIES
 from retail_signals.llm.sql import ORACLE_SQL
 
@@ -273,3 +273,16 @@ def test_every_query_runs_on_the_small_tables(spark):
     for name, query in QUERIES.items():
         if name not in ("op4_sum_of_squares_packing", "op5_ngram_jaccard", "op8_best_fit_rows"):
             assert query(spark, SMALL).count() == n, name
+
+
+def test_staged_write_leaves_the_session_as_it_was(spark):
+    keys = {k: spark.conf.get(k, None) for k in common.STAGE_SETTINGS}
+    spark.conf.set(common.BATCH_BYTES, "7m")
+    try:
+        staged, path = common.stage(frame(spark, [(1, "a"), (None, None)]))
+        assert staged.count() == 2 and spark.conf.get(common.BATCH_BYTES) == "7m"
+        common.drop_stage(spark, path)
+    finally:
+        spark.conf.unset(common.BATCH_BYTES)
+    common.drop_stage(spark, common.stage(frame(spark, []))[1])
+    assert {k: spark.conf.get(k, None) for k in common.STAGE_SETTINGS} == keys
