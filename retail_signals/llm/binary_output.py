@@ -78,8 +78,9 @@ BASE = ("sequence_id long, n_tokens int, doc_ids array<long>, doc_starts array<l
 def packed_rows(df: DataFrame, ranks_path: str, pattern: str, json: str, end_id: int = 1, pad_id: int = 0,
                 length: int = 2048, block_tokens: int = 2_000_000, with_ids: bool = True) -> DataFrame:
     """One record for each packed row: its segments' documents and starts,
-    cu_seqlens (from 0 to n_tokens), checksums and, if asked for, ``input_ids``
-    and ``position_ids`` (``length`` little-endian 32-bit numbers each)."""
+    cu_seqlens (from 0 to n_tokens), checksums of the padded row and, if asked
+    for, ``input_ids`` and ``position_ids`` (``length`` little-endian 32-bit
+    numbers each)."""
     schema = BASE + ", input_ids binary, position_ids binary" * with_ids
 
     def block(pieces, first):
@@ -88,19 +89,20 @@ def packed_rows(df: DataFrame, ranks_path: str, pattern: str, json: str, end_id:
         for k, row in enumerate(best_fit_decreasing(sizes, length)):
             own = [pieces[i] for i in row]
             ends = np.cumsum([0] + [sizes[i] for i in row])
-            ids = b"".join(p[2] for p in own)
-            places = np.concatenate([np.arange(p[1], p[1] + len(p[2]) // 4) for p in own]).astype("<u4")
+            room = length - int(ends[-1])
+            ids = b"".join(p[2] for p in own) + np.full(room, pad_id, "<u4").tobytes()
+            places = np.concatenate([np.arange(p[1], p[1] + len(p[2]) // 4) for p in own]
+                                    + [np.zeros(room, np.int64)]).astype("<u4").tobytes()
             cols["sequence_id"].append(first + k)
             cols["n_tokens"].append(int(ends[-1]))
             cols["doc_ids"].append([p[0] for p in own])
             cols["doc_starts"].append([p[1] for p in own])
             cols["cu_seqlens"].append(ends.tolist())
             cols["ids_crc32"].append(zlib.crc32(ids))
-            cols["positions_crc32"].append(zlib.crc32(places.tobytes()))
+            cols["positions_crc32"].append(zlib.crc32(places))
             if with_ids:
-                room = length - len(places)
-                cols["input_ids"].append(ids + np.full(room, pad_id, "<u4").tobytes())
-                cols["position_ids"].append(places.tobytes() + bytes(4 * room))
+                cols["input_ids"].append(ids)
+                cols["position_ids"].append(places)
         return record_batch(schema, cols), first + len(cols["sequence_id"])
 
     def run(batches):

@@ -59,7 +59,7 @@ def op7_resync_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_best_fit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binary_output.packed_rows(documents(spark, sf_dir), RANKS, PATTERN, JSON, with_ids=False)
+    return binary_output.packed_rows(documents(spark, sf_dir), RANKS, PATTERN, JSON)
 
 
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import public_tokenizers as P
 import pytest
 
 from retail_signals.llm import binary_output, bpe, packing, token_count
-from retail_signals.llm.queries import JSON, PATTERN, PIECES, RANKS
+from retail_signals.llm.queries import JSON, PATTERN, PIECES, QUERIES, RANKS
 from retail_signals.llm.units import ByteBpe
 
 PARTS = [" ", "  ", "\n", "\n\n", " \n", "a", "cd", "é", "日本", "\t", "\xa0", "\x1c", "'s", "'", "'r", "e",
@@ -150,6 +150,36 @@ def test_best_fit_rows_against_brute_force(spark):
             assert [x for _, p in sorted(pieces[i]) for x in p] == ids_of(text)
 
 
+def check_matrices(rows, texts, length, pad):
+    """Padded matrices, their checksums and, by document, the ids laid end to end."""
+    pieces = defaultdict(list)
+    for r in rows:
+        ids, places = (np.frombuffer(r[c], "<u4") for c in ("input_ids", "position_ids"))
+        assert len(ids) == len(places) == length
+        assert (ids[r["n_tokens"]:] == pad).all() and not places[r["n_tokens"]:].any()
+        assert (zlib.crc32(r["input_ids"]), zlib.crc32(r["position_ids"])) == (r["ids_crc32"], r["positions_crc32"])
+        for doc, start, a, b in zip(r["doc_ids"], r["doc_starts"], r["cu_seqlens"], r["cu_seqlens"][1:]):
+            pieces[doc].append((start, ids[a:b].tolist()))
+    assert pieces.keys() == texts.keys()
+    for doc, text in texts.items():
+        assert [x for _, p in sorted(pieces[doc]) for x in p] == ids_of(text)
+
+
+def test_best_fit_query_returns_its_matrices(spark):
+    small = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    check_matrices(QUERIES["op8_best_fit_rows"](spark, small).collect(), docs, 2048, 0)
+
+
+def test_written_matrices_read_back(spark, tmp_path):
+    docs = {i: t for i, t in DOCS if i != 4}
+    path = f"{tmp_path}/packed"
+    for _ in range(2):  # the second write replaces the first
+        binary_output.write_packed(frame(spark, list(docs.items())), path, ranks_path=RANKS, pattern=PATTERN, json=JSON,
+                                   length=64, pad_id=9, block_tokens=2000)
+    check_matrices(spark.read.parquet(path).collect(), docs, 64, 9)
+
+
 def test_digest_queries_on_edge_rows(spark):
     out = {r["doc_id"]: r for r in bpe.round_trip_digests(frame(spark), RANKS, PATTERN).collect()}
     assert len(out) == len({i for i, _ in DOCS})
