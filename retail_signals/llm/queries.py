@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (binary_output, bpe, fingerprint, ngram_join, packing, pii, quality, secret_scan, sharding,
                token_count)
-from .common import text_of
+from .common import stage, text_of
 from .sql import ORACLE_SQL  # noqa: F401  (the entry module reads it from here)
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -26,11 +26,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = documents(spark, sf_dir).select(
-        "doc_id", sharding.document_size(F.col("text")).alias("size"), F.crc32(text_of()).alias("text_crc32"))
-    return (sharding.shuffle_to_shards(rows, SHARDS)
-            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                    F.lit(None).cast("int").alias("grown_shard")))
+    shards, _ = stage(sharding.shuffle_to_shards(documents(spark, sf_dir), SHARDS))
+    return shards.select("doc_id", sharding.document_size(F.col("text")).alias("size"),
+                         F.crc32(text_of()).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 from math import comb
 
 import duckdb
@@ -163,6 +164,16 @@ def test_shards_are_exact_and_slots_gapless(spark):
         assert max(sizes) - min(sizes) <= 1
 
 
+def test_whole_documents_go_into_the_shards(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    out = QUERIES["op1_hypergeometric_shards"](spark, SMALL)
+    shards = spark.read.parquet(*out.inputFiles())
+    assert shards.columns == [*docs.columns, "shard", "slot"]
+    assert collections.Counter(map(tuple, shards.select(docs.columns).collect())) == collections.Counter(map(tuple, docs.collect()))
+    at = {(r.shard, r.slot): (r.doc_id, len(r.text.encode()) + 1, zlib.crc32(r.text.encode())) for r in shards.collect()}
+    assert {(r.shard, r.slot): (r.doc_id, r.size, r.text_crc32) for r in out.collect()} == at
+
+
 def test_hypergeometric_draws_follow_the_exact_law(spark):
     n, k, m, draws = 20, 8, 7, 20_000
     got = collections.Counter(r[0] for r in spark.range(draws).selectExpr(
