@@ -1,9 +1,10 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Patterns propose candidate spans in every whole text. Each candidate's value is
-hashed, and the hashes are counted over the corpus by distinct repositories and
-owners: a value that several owners hold is a widely copied example, one that
-stays with few owners and looks random is a live-looking credential.
+hashed (of a private key the whole body, without line ends), and the hashes are
+counted over the corpus by distinct repositories and owners: a value that several
+owners hold is a widely copied example, one that stays with few owners and looks
+random is a live-looking credential.
 
 Only DataFrame and SQL functions run on the data. Defined results: null text
 counts as empty (no spans); a null owner or repository counts as one of its own;
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 
 from .common import stage, text_of
 
+#: A line end in a key block, as it is or escaped (keys in JSON).
+_EOL = "(?:\\s|\\\\+[nrt])"
+
 #: Kinds in their fixed order: pattern, and the group that holds the value. Runs
 #: are maximal, so a least length in the pattern drops the same matches as a
 #: check after it; assign is checked after it (``MIN_ASSIGN``).
@@ -26,13 +30,20 @@ KINDS: dict[str, tuple[str, int]] = {
     "hex": ("[0-9a-f]{24,}", 0),
     "provider": ("gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
                  "|eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}", 0),
-    "private_key": ("-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----\\s{0,4}[A-Za-z0-9+/=]{0,64}", 0),
+    # the whole block, with header lines, up to its END line; its value is the
+    # body. Without an END line: the header and what follows it at once.
+    "private_key": ("-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----"
+                    f"(?:{_EOL}*+(?:[A-Za-z][A-Za-z0-9-]{{0,40}}:[^\\r\\n\\\\]{{0,200}}{_EOL}++){{0,8}}+"
+                    "((?:[A-Za-z0-9+/=\\s]++|\\\\+[nrt])*+)-----END \\1PRIVATE KEY-----"
+                    "|\\s{0,4}[A-Za-z0-9+/=]{0,64})", 2),
 }
 BASE_KINDS = ("assign", "access", "hex")
 MIN_ASSIGN = 6
 #: Owners from which on a value counts as a widely copied example.
 MIN_OWNERS = 3
 PLACEHOLDER = "(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
+#: For key bodies, which are so long that four letters meet by chance.
+KEY_PLACEHOLDER = PLACEHOLDER.replace("your|xxxx", "x{8}")
 
 
 def _spans(kind_no: int, kind: str) -> Column:
@@ -43,6 +54,9 @@ def _spans(kind_no: int, kind: str) -> Column:
     between = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
+    if kind == "private_key":  # the body without line ends, so that each form of a key has one hash
+        bare = F.transform(value, lambda v: F.regexp_replace(v, _EOL, ""))
+        value = F.zip_with(bare, whole, lambda b, w: F.when(b == "", w).otherwise(b))
     matched = F.arrays_zip(F.slice(between, 1, F.size(whole)).alias("gap"), whole.alias("match"),
                            value.alias("value"))
     none = F.array().cast("array<struct<start:int,kind_no:int,end:int,value:string>>")
@@ -73,11 +87,17 @@ def find_candidates(df: DataFrame, owner: str, repository: str) -> DataFrame:
     parts = df.select("doc_id", F.expr(owner).cast("string").alias("owner"),
                       F.expr(repository).cast("string").alias("repository"), text_of().alias("text"))
     spans = F.array_sort(F.concat(*(_spans(k, kind) for k, kind in enumerate(KINDS))))
+    key = list(KINDS).index("private_key")
+
+    def placeholder(s):
+        whole_key = (s["kind_no"] == key) & ~s["value"].startswith("-----BEGIN")
+        return F.when(whole_key, s["value"].rlike(KEY_PLACEHOLDER)).otherwise(s["value"].rlike(PLACEHOLDER))
+
     looked = F.transform(spans, lambda s: F.struct(
         s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end"),
         F.sha2(s["value"], 256).alias("hash"),
         ((F.length(s["value"]) >= 16) & s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
-         & ~s["value"].rlike(PLACEHOLDER)).alias("random")))
+         & ~placeholder(s)).alias("random")))
     return parts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "owner", "repository",
                         looked.alias("spans"))
 
