@@ -4,7 +4,8 @@ Base kinds (email, ip, card, phone) are found as leftmost non-overlapping
 matches and always reported when their own check holds. Further kinds (iban,
 ssn, short card and local phone numbers) need a score of ``MIN_SCORE``: a start
 value, more for a passed checksum (Luhn, mod 97), more or less for words
-nearby. They never overlap a base span. All scans are linear in the text.
+nearby. They are also found next to other digits, and never overlap a base span,
+an iban or a span of their kind. All scans are linear in the text.
 
 Defined results: null text counts as empty (no spans); copies and repeated ids
 each give their row; an empty table gives no rows; ``redact`` keeps every input
@@ -44,7 +45,14 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*+")
 _DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])*+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}))")
-_SSN = re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")
+_SSN = re.compile(r"(?<![0-9])(?<![0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-?[0-9])")
+_CARD_SHORT = re.compile(r"(?<![0-9])(?=((?:[0-9]{13,15}|[0-9]{4}[\x20-][0-9]{6}[\x20-][0-9]{4,5}"
+                         r"|[0-9]{4}(?:[\x20-][0-9]{3}){3})(?![0-9])))")
+_LOCAL = re.compile(r"(?:(?<![0-9])1[\x20.-])?(?:\([0-9]{3}\)[\x20.-]?|(?<![0-9])[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])"
+                    r"|\([0-9]{2,5}\)[\x20./-]?[0-9]{3,9}(?:[\x20.-][0-9]{2,5}){0,3}(?![0-9])"
+                    r"|(?<![0-9.])[0-9]{2,5}(?:\.[0-9]{2,8}){2,4}(?!\.?[0-9])")
+_LOCAL_RUN = re.compile(r"[(0-9][\x20()./0-9-]{7,}+")
+_LAST_GROUP = re.compile(r"[\x20.-][0-9]+\Z")
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
@@ -107,6 +115,23 @@ def score(kind: str, text: str, start: int, end: int, checked: bool) -> float:
             - 0.2 * any(w in near for w in AGAINST))
 
 
+def local_phones(text: str) -> list[tuple[int, int]]:
+    """Local numbers by their own grouping, with brackets and dots, 9 to 11
+    digits; last groups over that are left out."""
+    out = []
+    for run in _LOCAL_RUN.finditer(text):
+        m = _LOCAL.search(text, *run.span())
+        while m:
+            found = m.group()
+            while (n := sum(map(str.isdigit, found))) > 11 and (last := _LAST_GROUP.search(found)):
+                found = found[:last.start()]
+            good = 9 <= n <= 11
+            if good:
+                out.append((m.start(), m.start() + len(found)))
+            m = _LOCAL.search(text, out[-1][1] if good else m.start() + 1, run.end())
+    return out
+
+
 def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans by kind, in code points, ends exclusive."""
     out: dict[str, list] = {k: [] for k in KINDS}
@@ -122,12 +147,18 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
         if 16 <= n <= 19:
             if luhn(digits):
                 out["card"].append(m.span())
-        elif n == 9 and _SSN.fullmatch(m.group()):
-            proposed.append(("ssn", *m.span(), False))
         elif 13 <= n <= 15 and luhn(digits):
             proposed.append(("card_short", *m.span(), True))
-        elif 9 <= n <= 11 and size > n:
+        elif 9 <= n <= 11 and size > n and not _SSN.fullmatch(m.group()):
             proposed.append(("phone_local", *m.span(), False))
+        # the same kinds next to other digits of the run
+        if size > n:
+            at = m.start()
+            proposed += [("ssn", at + x.start(), at + x.end(), False) for x in _SSN.finditer(m.group())]
+            if n > 13:
+                proposed += [("card_short", at + x.start(1), at + x.end(1), True) for x in _CARD_SHORT.finditer(m.group())
+                             if luhn(x.group(1).replace(" ", "").replace("-", ""))]
+    proposed += [("phone_local", *span, False) for span in local_phones(text)]
     if "+" in text:
         out["phone"] = [m.span() for m in _PHONE.finditer(text)
                         if 8 <= sum(map(str.isdigit, m.group())) <= 15]
@@ -140,9 +171,10 @@ def find_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     taken = sorted(s for k in BASE_KINDS for s in out[k])
     starts = [s for s, _ in taken]
     reached = list(accumulate((e for _, e in taken), max, initial=0))
-    for kind, start, end, checked in sorted(proposed, key=lambda p: p[1:3]):
+    for kind, start, end, checked in sorted(proposed, key=lambda p: (p[1], -p[2])):
         if (score(kind, text, start, end, checked) >= MIN_SCORE
-                and reached[bisect_left(starts, end)] <= start):
+                and reached[bisect_left(starts, end)] <= start
+                and all(not out[k] or out[k][-1][1] <= start for k in (kind, "iban"))):
             out[kind].append((start, end))
     return out
 

@@ -128,6 +128,28 @@ def test_added_kinds_need_checksum_or_context():
     assert pii.redacted("mail a@b.co now") == "mail [EMAIL] now" and pii.redacted("") == ""
 
 
+def test_added_kinds_next_to_other_digits():
+    for text, kind, span in (
+            ("SSN 123-45-6789 12 May", "ssn", "123-45-6789"),
+            ("7 ssn: 12 123-45-6789", "ssn", "123-45-6789"),
+            ("card 3782 822463 10005 12/27", "card_short", "3782 822463 10005"),
+            ("visa 378282246310005 12-27", "card_short", "378282246310005"),
+            ("phone (555) 123-4567", "phone_local", "(555) 123-4567"),
+            ("phone (555) 123-4567 12 May", "phone_local", "(555) 123-4567"),
+            ("call 555.123.4567 or", "phone_local", "555.123.4567"),
+            ("call 555 123 4567 2024-05", "phone_local", "555 123 4567"),
+            ("tel (030) 1234567 12 May", "phone_local", "(030) 1234567"),
+            ("tel 0301.234.567.", "phone_local", "0301.234.567")):
+        found = pii.find_spans(text)
+        assert [text[a:b] for a, b in found[kind]] == [span], text
+        assert pii.redacted(text) == text.replace(span, f"[{kind.upper()}]")
+    assert not any(pii.find_spans("SSN 9123-45-6789, 123-45-67890, 123-45-6789-1")[k] for k in pii.KINDS)
+    assert not any(pii.find_spans("card 3782 822463 10006 12/27")[k] for k in pii.KINDS)
+    assert not any(pii.find_spans("(555) 123-4567 and 555.123.4567")[k] for k in pii.KINDS)
+    shadowed = pii.find_spans("phone +1 (555) 123-4567, tel 192.168.100.200")
+    assert shadowed["phone"] and shadowed["ip"] and not shadowed["phone_local"]
+
+
 # quality
 def measures(text):
     words = WORD.findall(text)
