@@ -5,10 +5,12 @@ fraction of the hash range. Because the threshold is the same for all, sketches
 merge by union, and the share of the smaller sketch found in the larger one
 estimates containment between texts of very unequal length. A text whose hashes
 all lie above the threshold keeps its least one, so only texts without words
-have an empty sketch.
+have an empty sketch. That hash marks the text but is never compared: a longer
+text's sketch could not hold it.
 
 Defined results: null text counts as empty; the likeness of two empty sketches
-is 1, of an empty one and another 0; rows follow each other by id, null ids
+is 1, of an empty one and another 0, of one without a hash below the threshold
+and another that is not empty null (no estimate); rows follow each other by id, null ids
 first, then by text; an empty table gives no rows; other input columns are not
 read.
 """
@@ -31,7 +33,7 @@ DIGESTS = ("n_chars long, edited_sha256 string, fingerprint string, edited_finge
 
 
 def sketch(text: str, fraction: float = FRACTION) -> np.ndarray:
-    """Sorted distinct hashes (upper 48 bits) below the threshold."""
+    """Sorted distinct hashes (upper 48 bits) below the threshold, or the least one."""
     hashes = shingle_hashes(byte_words(text))
     kept = hashes[:np.searchsorted(hashes, np.uint64(int(fraction * 2 ** 64) - 1), side="right")]
     if not len(kept):
@@ -39,15 +41,27 @@ def sketch(text: str, fraction: float = FRACTION) -> np.ndarray:
     return np.unique(kept >> np.uint64(64 - 8 * HASH_BYTES))
 
 
-def merge(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def below(sketch_: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
+    """A sketch's hashes below the threshold."""
+    last = (int(fraction * 2 ** 64) - 1) >> (64 - 8 * HASH_BYTES)
+    return sketch_[:np.searchsorted(sketch_, np.uint64(last), side="right")]
+
+
+def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarray:
     """The sketch of two texts' shingles together."""
-    return np.union1d(a, b)
+    both = np.union1d(a, b)
+    kept = below(both, fraction)
+    return kept if len(kept) else both[:1]
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the smaller sketch that the larger one holds."""
+def likeness(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float | None:
+    """Share of the smaller sketch that the larger one holds, below the threshold;
+    None where one of them has words but no hash there."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
+    a, b = below(a, fraction), below(b, fraction)
+    if not len(a) or not len(b):
+        return None
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
@@ -126,7 +140,7 @@ def edited_digests(df: DataFrame, fraction: float = FRACTION) -> DataFrame:
         edited = text[:len(text) - part] + following[1][:part]
         changed = sketch(edited, fraction)
         return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(own), to_text(changed),
-                likeness(own, changed), likeness(own, following[2]))
+                likeness(own, changed, fraction), likeness(own, following[2], fraction))
 
     def run(batches):
         last, last_bucket = None, None

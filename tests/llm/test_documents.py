@@ -203,6 +203,25 @@ def test_sketches_merge_and_estimate_containment():
     assert fingerprint.likeness(fingerprint.sketch(""), fingerprint.sketch("")) == 1.0
 
 
+def test_short_texts_inside_long_ones(spark):
+    rnd = random.Random(3)
+    words = [f"w{rnd.randrange(10 ** 6)}" for _ in range(400)]
+    whole, unknown = fingerprint.sketch(" ".join(words)), 0
+    for k in range(0, 380, 3):
+        part = fingerprint.sketch(" ".join(words[k:k + 7]))
+        got = fingerprint.likeness(part, whole)
+        assert got == (1.0 if part[0] < 2 ** 46 else None)
+        unknown += got is None
+        assert (fingerprint.merge(part, whole) == whole).all() and (fingerprint.merge(whole, part) == whole).all()
+        after = fingerprint.sketch(" ".join(words[k:k + 11]))
+        assert (fingerprint.merge(part, fingerprint.sketch(" ".join(words[k + 3:k + 11]))) == after).all()
+    assert 0 < unknown < 127
+    assert fingerprint.likeness(fingerprint.sketch(""), whole) == 0.0
+    marked = next(x for x in (" ".join(words[k:k + 5]) for k in range(300)) if fingerprint.sketch(x)[0] >= 2 ** 46)
+    rows = fingerprint.edited_digests(frame(spark, [(1, marked), (2, " ".join(words))])).collect()
+    assert {r.doc_id: r.near_next for r in rows} == {1: None, 2: None}
+
+
 # sharding
 def test_shards_are_exact_and_slots_gapless(spark):
     for n in (0, 1, 17, 1000):
