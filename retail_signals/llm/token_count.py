@@ -1,12 +1,14 @@
-"""Token counts of whole texts by overlap resynchronisation.
+"""Token counts of whole texts by units between stable offsets.
 
-A huge text is encoded in chunks that overlap, each as units with their offsets.
-Neighbours are spliced at the first offset that starts a unit in both. Such an
+A huge text is cut into units in chunks that overlap; each unit's tokens are
+counted once and cached, so the overlaps themselves are not encoded. Neighbours
+are spliced at the first offset that starts a unit in both. Such an
 offset is stable: it stands between a character that is no space and a space or
 line end, and no piece of the vocabulary holds a space after another character
 or a line end at all (checked when the vocabulary is loaded), so no merge
 crosses it. Where the overlap has no common offset, it is widened, at most until
-it covers the next chunk.
+it covers the next chunk. Texts with the marker character or NUL, however long,
+are encoded whole.
 
 Defined results: null text counts as empty (0 tokens); a null id stays null;
 copies and repeated ids each give their row; an empty table gives no rows; other
