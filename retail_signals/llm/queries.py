@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (binary_output, bpe, fingerprint, ngram_join, packing, pii, quality, secret_scan, sharding,
-               token_count)
+from . import (binary_output, bpe, certified_packing, fingerprint, hard_negatives, ngram_join, packing, pii, quality,
+               secret_scan, sharding, spelling, token_count)
 from .common import stage, text_of
 from .sql import ORACLE_SQL  # noqa: F401  (the entry module reads it from here)
 
@@ -69,9 +69,27 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(documents(spark, sf_dir))
 
 
+def op11_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = certified_packing.pack_certified(documents(spark, sf_dir), RANKS, PATTERN, JSON)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id",
+                         "offset", "certified")
+
+
+def op12_chunk_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
+def op13_residue_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+                           .otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_hypergeometric_shards, op2_secret_ownership, op3_tree_bpe, op4_sum_of_squares_packing,
         op5_ngram_jaccard, op6_scaled_fingerprints, op7_resync_token_counts, op8_best_fit_rows,
-        op9_personal_data, op10_quality_cascade)
+        op9_personal_data, op10_quality_cascade, op11_certified_packing, op12_chunk_variants,
+        op13_residue_negatives)
 }

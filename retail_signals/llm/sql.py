@@ -105,4 +105,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_secret_ownership": OP2, "op10_quality_cascade": OP10}
+OP13 = """
+WITH sound AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM sound a JOIN sound b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5),
+negative AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+         n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id, n.r) AS place
+  FROM positive p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+   AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE place <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_secret_ownership": OP2, "op10_quality_cascade": OP10,
+                              "op13_residue_negatives": OP13}
