@@ -45,8 +45,11 @@ class SignalConfig:
     low_cover_days: float = 1.5
     min_fulfillment_rate: float = 0.90
     restock_cover_days: float = 3.0
+    segment_rows: int = 500_000  # a job folds series with more rows in segments of about this size
     policy: StockPolicy = field(default_factory=StockPolicy)
 
     def __post_init__(self) -> None:
         if self.window_rows < 1:
             raise ValueError("window_rows must be >= 1")
+        if self.segment_rows < 1:
+            raise ValueError("segment_rows must be >= 1")

@@ -2,7 +2,7 @@
 spike/drop rules."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .demand import SERIES_KEYS
@@ -29,6 +29,12 @@ def with_baseline(demand: DataFrame, window_rows: int = 14) -> DataFrame:
                         F.coalesce(F.col("rolling_mean"), F.col("units_sold"), F.lit(0.0))))
 
 
+def repeats_date() -> Column:
+    """Whether a row has the date of the row before it; shares the baseline's sort."""
+    before = F.lag("date").over(Window.partitionBy(*SERIES_KEYS).orderBy("date"))
+    return F.coalesce(before == F.col("date"), F.lit(False))
+
+
 def build_forecast(demand: DataFrame, window_rows: int = 14) -> DataFrame:
     """The forecast table: date, store_id, item_id, forecast_units."""
     return with_baseline(demand, window_rows).select("date", "store_id", "item_id",

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.watch import DemandWatch
 from ..vocabulary import ERR_NO_DAY_COLUMNS
 
 DAY_PREFIX = "d_"
 ID_COLUMNS = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
 SERIES_KEYS = ("store_id", "item_id")
+# Columns and order of the demand table.
 DEMAND_COLUMNS = ("date", "d", "store_id", "state_id", "item_id", "dept_id", "cat_id",
                   "units_sold", "price", "event_name_1", "event_type_1", "is_promo")
 
@@ -36,46 +38,66 @@ def unpivot_days(sales: DataFrame, lenient: bool = False) -> DataFrame:
     return sales.selectExpr(*ID_COLUMNS, f"stack({len(days)}, {pairs}) AS (d, units_sold)")
 
 
-def one_exchange(spark) -> bool:
-    """Whether Spark may join on a partitioning by some of the join keys."""
-    return spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "false"
-
-
-def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
-                  lenient: bool = False) -> DataFrame:
-    """Attach date, week and events by ``d`` and the weekly price by
-    (store, item, week); both joins are left outer.
+def attach_calendar(long_sales: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Date, week and events by ``d``, left outer.
 
     No join hint is given: the calendar (one row per day) is small, and Spark
     broadcasts it from its own size checks (file-size estimates, or AQE's exact
     size of the materialised calendar stage) without an extra counting job.
-    Prices grow with series x weeks; AQE broadcasts them only when their
-    runtime size allows, otherwise both sides shuffle on the join keys.
     """
+    return long_sales.join(calendar.select("d", "date", "wm_yr_wk", "event_name_1", "event_type_1"),
+                           on="d", how="left")
+
+
+def prices_by_series(prices: DataFrame) -> DataFrame:
+    """One row per series: its weeks and, in step, their prices; ``_repeated``
+    where a week occurs more than once. Bounded by the weeks of a series (when
+    price weeks are unique, which ``check_keys`` proves)."""
+    listed = F.collect_list(F.struct(F.col("wm_yr_wk").alias("week"), F.col("sell_price").alias("price")))
+    rows = prices.filter(F.col("wm_yr_wk").isNotNull()).groupBy(*SERIES_KEYS).agg(listed.alias("_listed"))
+    weeks = F.col("_listed.week")
+    return rows.select(*SERIES_KEYS, weeks.alias("_weeks"), F.col("_listed.price").alias("_prices"),
+                       (F.size(F.array_distinct(weeks)) < F.size(weeks)).alias("_repeated"))
+
+
+def attach_prices(dated: DataFrame, prices: DataFrame) -> DataFrame:
+    """The weekly price as ``price``, left outer on (store, item, week).
+
+    Prices are joined as one row per series, on the series alone, and read by
+    their week's place in it. So the join needs the partitioning by series that
+    the window and the stock fold need as well: sales are exchanged once. A row
+    whose week has several prices comes out once for each.
+    """
+    joined = dated.join(prices_by_series(prices), on=list(SERIES_KEYS), how="left")
+    at = F.array_position("_weeks", F.col("wm_yr_wk"))
+    one = F.when(at > 0, F.element_at("_prices", at.cast("int")))
+    weeks_prices = F.arrays_zip(F.col("_weeks").alias("week"), F.col("_prices").alias("price"))
+    several = F.transform(F.filter(weeks_prices, lambda x: x["week"] == F.col("wm_yr_wk")), lambda x: x["price"])
+    found = F.when(F.col("_repeated") & (at > 0), several).otherwise(F.array(one))
+    return joined.select(*dated.columns, F.explode(found).alias("price"))
+
+
+def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
+                  lenient: bool = False, watch: DemandWatch | None = None) -> DataFrame:
+    """Attach date, week and events by ``d`` and the weekly price by
+    (store, item, week); both joins are left outer. ``watch`` takes figures of
+    the rows on their way, without a pass of its own."""
     to_date = F.try_to_date if lenient else F.to_date
-    cal = calendar.select("d", "date", "wm_yr_wk", "event_name_1", "event_type_1")
-    price = prices.select("store_id", "item_id", "wm_yr_wk", F.col("sell_price").alias("price"))
-    dated = long_sales.join(cal, on="d", how="left")
-    if one_exchange(long_sales.sparkSession):
-        # Both sides by series: the join, and later the window and the fold,
-        # use this one exchange of the sales.
-        dated, price = dated.repartition(*SERIES_KEYS), price.repartition(*SERIES_KEYS)
-    joined = (dated
-              .join(price, on=["store_id", "item_id", "wm_yr_wk"], how="left"))
+    watch = watch or DemandWatch.off()
+    dated = watch.dated(attach_calendar(watch.sales(long_sales), calendar))
+    joined = watch.priced(attach_prices(dated, prices))
     date = F.col("date") if dict(calendar.dtypes)["date"] == "date" else to_date(F.col("date"))
     units = F.col("units_sold").cast("double")
     price_col = F.col("price").cast("double")
     if lenient:
         units = F.col("units_sold").try_cast("double")
         price_col = F.col("price").try_cast("double")
-    return joined.select(
-        date.alias("date"), "d", "store_id", "state_id", "item_id", "dept_id", "cat_id",
-        units.alias("units_sold"), price_col.alias("price"), "event_name_1", "event_type_1",
-        F.when(F.col("event_name_1").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("is_promo"),
-    )
+    made = {"date": date, "units_sold": units, "price": price_col,
+            "is_promo": F.when(F.col("event_name_1").isNotNull(), F.lit(1)).otherwise(F.lit(0))}
+    return joined.select(*(made[c].alias(c) if c in made else c for c in DEMAND_COLUMNS))
 
 
 def build_demand(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
-                 lenient: bool = False) -> DataFrame:
+                 lenient: bool = False, watch: DemandWatch | None = None) -> DataFrame:
     """Wide sales + calendar + prices -> the 12-column demand table."""
-    return enrich_demand(unpivot_days(sales, lenient), calendar, prices, lenient)
+    return enrich_demand(unpivot_days(sales, lenient), calendar, prices, lenient, watch)

@@ -29,6 +29,36 @@ LEDGER_COLUMNS = ("date", "store_id", "state_id", "item_id", "dept_id", "cat_id"
                   "closing_stock", "stockout_flag", "fulfillment_rate")
 
 
+def prepared_rows(frame: DataFrame) -> DataFrame:
+    """``demand`` (null units count as 0) and a forecast that is never null or zero."""
+    demand = F.coalesce(F.col("units_sold").cast("double"), F.lit(0.0))
+    fc = F.col("forecast_units")
+    return (frame
+            .withColumn("demand", demand)
+            .withColumn("forecast_units",
+                        F.when(fc.isNull() | (fc == 0.0), F.col("demand")).otherwise(fc)))
+
+
+def with_outcome(folded: DataFrame) -> DataFrame:
+    """Fulfilment, closing stock and flags of rows that have their opening stock."""
+    opening = F.col("opening_stock").cast("double")
+    filled = F.least(opening, F.col("demand"))
+    return (folded
+            .withColumn("fulfilled_qty", filled)
+            .withColumn("closing_stock",
+                        F.floor(F.greatest(F.lit(0.0), opening - F.col("fulfilled_qty")))
+                        .cast("int"))
+            # Spark orders NaN above every number; the ledger's comparisons follow
+            # IEEE (a NaN demand is never above the fill, nor above zero)
+            .withColumn("stockout_flag",
+                        F.when(~F.isnan("demand") & (F.col("demand") > F.col("fulfilled_qty")), 1)
+                        .otherwise(0))
+            .withColumn("fulfillment_rate",
+                        F.when(~F.isnan("demand") & (F.col("demand") > 0),
+                               F.col("fulfilled_qty") / F.col("demand"))
+                        .otherwise(F.lit(1.0))))
+
+
 def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
                   partitioned_by_series: bool = False) -> DataFrame:
     """Stock ledger for every series of ``frame``.
@@ -40,12 +70,7 @@ def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
     :func:`with_baseline`, whose exchange the fold then reuses.
     """
     policy = policy or StockPolicy()
-    demand = F.coalesce(F.col("units_sold").cast("double"), F.lit(0.0))
-    fc = F.col("forecast_units")
-    prepared = (frame
-                .withColumn("demand", demand)
-                .withColumn("forecast_units",
-                            F.when(fc.isNull() | (fc == 0.0), F.col("demand")).otherwise(fc)))
+    prepared = prepared_rows(frame)
     if not partitioned_by_series:
         prepared = prepared.repartition(*SERIES_KEYS)
     prepared = prepared.sortWithinPartitions(*SERIES_KEYS, "date")
@@ -56,22 +81,7 @@ def project_stock(frame: DataFrame, policy: StockPolicy | None = None,
     kernel = make_kernel((policy.initial_stock, policy.reorder_point, policy.reorder_qty,
                           policy.lead_rows))
     folded = prepared.mapInArrow(kernel, schema)
-    opening = F.col("opening_stock").cast("double")
-    filled = F.least(opening, F.col("demand"))
-    return (folded
-            .withColumn("fulfilled_qty", filled)
-            .withColumn("closing_stock",
-                        F.floor(F.greatest(F.lit(0.0), opening - F.col("fulfilled_qty")))
-                        .cast("int"))
-            # Spark orders NaN above every number; the ledger's comparisons follow
-            # IEEE (a NaN demand is never above the fill, nor above zero)
-            .withColumn("stockout_flag",
-                        F.when(~F.isnan("demand") & (F.col("demand") > F.col("fulfilled_qty")), 1)
-                        .otherwise(0))
-            .withColumn("fulfillment_rate",
-                        F.when(~F.isnan("demand") & (F.col("demand") > 0),
-                               F.col("fulfilled_qty") / F.col("demand"))
-                        .otherwise(F.lit(1.0))))
+    return with_outcome(folded)
 
 
 def inventory_table(ledger: DataFrame) -> DataFrame:

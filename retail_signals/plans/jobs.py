@@ -4,21 +4,23 @@ Everything here takes the caller's SparkSession and never stops it.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
-from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SignalConfig
-from ..operators.baseline import with_baseline
+from ..operators.baseline import repeats_date, with_baseline
 from ..operators.demand import SERIES_KEYS, build_demand, enrich_demand
 from ..operators.diagnose import diagnose_all, diagnose_one
+from ..operators.long_series import long_ledger, series_sizes
 from ..operators.recommend import recommend
 from ..operators.rules import ANOMALY_COLUMNS, detect
 from ..operators.stock import inventory_table, project_stock
 from ..functions.checks import assert_unique
+from ..functions.watch import DemandWatch
 from ..session import materialize, remove, write_text
 from ..sources.files import read_raw_inputs, read_table, table_path, write_table
 
@@ -56,7 +58,8 @@ def rejected_demand(demand: DataFrame) -> DataFrame:
     return demand.filter(~_usable())
 
 
-def ledger_from_demand(demand: DataFrame, cfg: SignalConfig = SignalConfig()) -> DataFrame:
+def ledger_from_demand(demand: DataFrame, cfg: SignalConfig = SignalConfig(),
+                       watch: DemandWatch | None = None) -> DataFrame:
     """Baseline window and stock fold over one exchange by series.
 
     The result carries units_sold, price, ``rolling_mean`` and the ledger
@@ -65,9 +68,25 @@ def ledger_from_demand(demand: DataFrame, cfg: SignalConfig = SignalConfig()) ->
     so the projection is made before it. Rows of :func:`rejected_demand` are
     left out here, so every entry point treats them alike.
     """
-    usable = demand.filter(_usable()).select(*LEDGER_INPUT)
-    return project_stock(with_baseline(usable, cfg.window_rows),
-                         cfg.policy, partitioned_by_series=True)
+    based = with_baseline(demand.filter(_usable()).select(*LEDGER_INPUT), cfg.window_rows)
+    if watch is not None and watch.on:
+        based = watch.ledger(based.withColumn("_repeated", repeats_date()), F.col("_repeated")).drop("_repeated")
+    return project_stock(based, cfg.policy, partitioned_by_series=True)
+
+
+def ledger_from_stored(demand: DataFrame, cfg: SignalConfig = SignalConfig(),
+                       watch: DemandWatch | None = None) -> DataFrame:
+    """As :func:`ledger_from_demand`, for a stored demand table: one count finds
+    the series with over ``cfg.segment_rows`` rows, which are folded in segments
+    by several tasks; without any, the plan is that of the plain ledger. (Figures
+    of repeated dates cover the plainly folded series.)"""
+    sizes = series_sizes(demand.filter(_usable()), cfg.segment_rows)
+    sizes = materialize(sizes)
+    if sizes.isEmpty():
+        return ledger_from_demand(demand, cfg, watch)
+    short = demand.join(sizes, list(SERIES_KEYS), "left_anti")
+    long = long_ledger(demand.filter(_usable()).select(*LEDGER_INPUT), sizes, cfg, cfg.segment_rows)
+    return ledger_from_demand(short, cfg, watch).unionByName(long)
 
 
 def forecast_from_ledger(ledger: DataFrame) -> DataFrame:
@@ -109,46 +128,62 @@ def check_inputs(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
     assert_unique(prices, ["store_id", "item_id", "wm_yr_wk"], "prices")
 
 
+LEDGER_STAGE = "_ledger"
+
+
+def _stages(spark: SparkSession, folder: str, cfg: SignalConfig, watch: DemandWatch,
+            make_demand: Callable[[], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
+    """The tables of a run in the order of writing; each reads what earlier ones
+    wrote into ``folder``, so the window and the Python fold run exactly once and
+    a lost executor re-reads files instead of recomputing the fold."""
+    def stored(name: str) -> DataFrame:
+        return spark.read.parquet(table_path(folder, name))
+
+    return {
+        "processed_demand": make_demand,
+        "rejected_demand": lambda: rejected_demand(stored("processed_demand")),
+        LEDGER_STAGE: lambda: ledger_from_stored(stored("processed_demand"), cfg, watch),
+        "forecast": lambda: forecast_from_ledger(stored(LEDGER_STAGE)),
+        "inventory_fulfillment": lambda: inventory_table(stored(LEDGER_STAGE)),
+        "validation_logs": lambda: detect(stored(LEDGER_STAGE), cfg).select(*ANOMALY_COLUMNS),
+        "recommendations": lambda: recommend(stored("validation_logs"), stored("inventory_fulfillment"), cfg),
+    }
+
+
+def _demand_maker(sales: DataFrame, calendar: DataFrame, prices: DataFrame, long_form: bool, lenient: bool,
+                  watch: DemandWatch) -> Callable[[], DataFrame]:
+    make = enrich_demand if long_form else build_demand
+    return lambda: make(sales, calendar, prices, lenient, watch)
+
+
 def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                out_dir: str | Path, cfg: SignalConfig = SignalConfig(), long_form: bool = False,
-               lenient: bool = False, check_keys: bool = False) -> dict[str, str]:
-    """Write the five tables in stage order; each later stage reads what the
-    earlier ones wrote, so the window and the Python fold run exactly once and
-    a lost executor re-reads files instead of recomputing the fold.
+               lenient: bool = False, check_keys: bool = False,
+               watch: DemandWatch | None = None) -> dict[str, str]:
+    """Write the five tables in stage order into ``out_dir``, one by one.
+    :func:`run_set` publishes them together instead.
 
     Rows without a date, store or item stay in the demand table and are written
     to ``rejected_demand`` (empty when there are none); the ledger and the rules
-    leave them out. ``check_keys`` first checks the dimension keys. The ledger is
-    staged inside ``out_dir`` and removed at the end, also after an error.
+    leave them out. ``check_keys`` first checks the dimension keys. ``watch``
+    takes figures of the rows as they are written. The ledger is staged inside
+    ``out_dir`` and removed at the end, also after an error.
     """
     if check_keys:
         check_inputs(sales, calendar, prices, long_form)
-    demand = (enrich_demand(sales, calendar, prices, lenient) if long_form
-              else build_demand(sales, calendar, prices, lenient))
-    paths = {"processed_demand": write_table(demand, out_dir, "processed_demand")}
-    demand = read_table(spark, out_dir, "processed_demand")
-    paths["rejected_demand"] = write_table(rejected_demand(demand), out_dir, "rejected_demand")
-    folder = f"{str(out_dir).rstrip('/')}/_stage_{uuid4().hex}"
+    watch = watch or DemandWatch.off()
+    folder = str(out_dir).rstrip("/")
+    paths = {}
     try:
-        _write_ledger_tables(spark, materialize(ledger_from_demand(demand, cfg), folder), out_dir, cfg, paths)
+        for name, make in _stages(spark, folder, cfg, watch,
+                                  _demand_maker(sales, calendar, prices, long_form, lenient, watch)).items():
+            paths[name] = write_table(make(), folder, name)
     finally:
-        remove(spark, folder)
-    anomalies = read_table(spark, out_dir, "validation_logs")
-    inventory = read_table(spark, out_dir, "inventory_fulfillment")
-    paths["recommendations"] = write_table(recommend(anomalies, inventory, cfg), out_dir,
-                                           "recommendations")
+        remove(spark, table_path(folder, LEDGER_STAGE))
+    del paths[LEDGER_STAGE]
     return paths
 
 
-def _write_ledger_tables(spark: SparkSession, ledger: DataFrame, out_dir: str | Path, cfg: SignalConfig,
-                         paths: dict[str, str]) -> None:
-    paths["forecast"] = write_table(forecast_from_ledger(ledger), out_dir, "forecast")
-    paths["inventory_fulfillment"] = write_table(inventory_table(ledger), out_dir,
-                                                 "inventory_fulfillment")
-    paths["validation_logs"] = write_table(detect(ledger, cfg).select(*ANOMALY_COLUMNS),
-                                           out_dir, "validation_logs")
-
-
 def run_pipeline(spark: SparkSession, raw_dir: str | Path, out_dir: str | Path,
                  cfg: SignalConfig = SignalConfig(), lenient: bool = False,
                  check_keys: bool = False) -> dict[str, str]:

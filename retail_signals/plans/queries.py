@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import SignalConfig
 from ..operators.baseline import attach_forecast, build_forecast, with_baseline
-from ..operators.demand import build_demand, enrich_demand, unpivot_days
+from ..operators.demand import attach_calendar, build_demand, enrich_demand, unpivot_days
 from ..operators.diagnose import candidate_rows, diagnose_all, top_anomaly
 from ..operators.recommend import latest_rows, recommend
 from ..operators.rules import (ANOMALY_COLUMNS, demand_drops, demand_spikes, detect,
@@ -33,6 +33,12 @@ def demand(spark: SparkSession, sf: str) -> DataFrame:
     return enrich_demand(sales, calendar, prices)
 
 
+def dated_units(spark: SparkSession, sf: str) -> DataFrame:
+    """Dated sales without prices: all that the baseline and its rules read."""
+    sales, calendar, _ = testdata.inputs(spark, sf)
+    return attach_calendar(sales, calendar).select("date", "store_id", "item_id", "units_sold")
+
+
 def ledger(spark: SparkSession, sf: str) -> DataFrame:
     return ledger_from_demand(demand(spark, sf), CFG)
 
@@ -66,7 +72,7 @@ def q_demand_timeseries(spark, sf):
 
 
 def q_forecast_rolling_mean(spark, sf):
-    return build_forecast(demand(spark, sf), CFG.window_rows)
+    return build_forecast(dated_units(spark, sf), CFG.window_rows)
 
 
 def _lacking():
@@ -76,7 +82,7 @@ def _lacking():
 def q_forecast_attach(spark, sf):
     """An outside forecast that lacks every third week: those days fall back to
     the day's units."""
-    d = materialize(demand(spark, sf))
+    d = materialize(dated_units(spark, sf))
     known = build_forecast(d, CFG.window_rows).filter(~_lacking())
     return attach_forecast(d, known).select("date", "store_id", "item_id", "units_sold", "forecast_units")
 
@@ -86,11 +92,11 @@ def q_stock_projection(spark, sf):
 
 
 def q_rule_demand_spike(spark, sf):
-    return demand_spikes(with_baseline(demand(spark, sf), CFG.window_rows), CFG)
+    return demand_spikes(with_baseline(dated_units(spark, sf), CFG.window_rows), CFG)
 
 
 def q_rule_demand_drop(spark, sf):
-    return demand_drops(with_baseline(demand(spark, sf), CFG.window_rows), CFG)
+    return demand_drops(with_baseline(dated_units(spark, sf), CFG.window_rows), CFG)
 
 
 def q_rule_low_inventory(spark, sf):

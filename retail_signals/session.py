@@ -47,3 +47,29 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         out.write(text.encode("utf-8"))
     finally:
         out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, or None where there is none."""
+    where, system = _file_system(spark, path)
+    if not system.exists(where):
+        return None
+    stream = system.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file so that readers see the old text or the new one:
+    a temporary file beside it is renamed over it in one step."""
+    beside = f"{path}.{uuid.uuid4().hex}"
+    write_text(spark, beside, text)
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    there = fs.Path(path)
+    options = spark.sparkContext._gateway.new_array(getattr(fs.Options, "Rename"), 1)
+    options[0] = getattr(fs.Options, "Rename").OVERWRITE
+    fs.FileContext.getFileContext(there.toUri(), spark._jsc.hadoopConfiguration()).rename(
+        fs.Path(beside), there, options)

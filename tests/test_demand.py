@@ -101,3 +101,28 @@ def test_baseline_counts_rows_not_days(spark):
     got = sorted(build_forecast(_demand(spark, rows), 14).collect(), key=lambda r: r.date)
     # row 16 (k=16) averages the 14 previous rows k=2..15
     assert got[16].forecast_units == pytest.approx(sum(range(2, 16)) / 14)
+
+
+def test_prices_by_series_equal_the_three_key_join(spark):
+    """Gaps, repeated weeks, null weeks and prices, rows without a calendar day,
+    series without prices."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from retail_signals.operators.demand import attach_calendar, attach_prices
+    rnd = random.Random(3)
+    sales = spark.createDataFrame([(f"s{rnd.randrange(4)}", rnd.choice(["i", "j", None]), f"d_{k % 40}", float(k))
+                                   for k in range(400)], "store_id string, item_id string, d string, units_sold double")
+    cal = spark.createDataFrame([(f"d_{k}", None, rnd.choice([k // 7 * 100, None]), None, None) for k in range(36)],
+                                "d string, date date, wm_yr_wk int, event_name_1 string, event_type_1 string")
+    prices = [(f"s{s}", i, rnd.choice([w * 100, None]), rnd.choice([1.5, 2.0, None])) for s in range(3)
+              for i in ("i", "j") for w in (0, 1, 1, 3, 4) if (s, i) != (1, "j")]
+    prices += [(f"s{s}", "j", w * 100, 9.0 + w) for s in range(3) for w in range(6)]
+    prices = spark.createDataFrame(prices, PRICE_SCHEMA)
+    dated = attach_calendar(sales, cal)
+    want = dated.join(prices.withColumnRenamed("sell_price", "price"), ["store_id", "item_id", "wm_yr_wk"], "left")
+    got = attach_prices(dated, prices)
+    cols = ["store_id", "item_id", "wm_yr_wk", "d", "units_sold", "price"]
+    assert sorted(got.select(cols).collect(), key=str) == sorted(want.select(cols).collect(), key=str)
+    assert got.count() > 400 and got.filter(F.col("price").isNotNull()).count() > 20

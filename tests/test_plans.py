@@ -46,7 +46,7 @@ def test_sales_are_exchanged_once(spark, capsys):
                                 "d string, date date, wm_yr_wk int, event_name_1 string, event_type_1 string")
     prices = spark.createDataFrame([("s0", "i", 0, 1.0), ("s0", "i", 0, 2.0), ("s1", "i", 1, 3.0)],
                                    "store_id string, item_id string, wm_yr_wk int, sell_price double")
-    settings = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1"}  # all else at Spark's defaults
     plain = sorted(enrich_demand(sales, cal, prices).collect(), key=str)
     before = {k: spark.conf.get(k) for k in settings}
     try:
@@ -60,6 +60,7 @@ def test_sales_are_exchanged_once(spark, capsys):
             spark.conf.set(k, v)
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert sum("store_id" in k for k in keys) == 2, plan      # sales and prices, once each
+    assert not any("wm_yr_wk" in k for k in keys), plan
     assert sum(k.startswith("d#") for k in keys) == 2, plan   # the calendar join, broadcast as a rule
 
 
