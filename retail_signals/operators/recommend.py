@@ -61,20 +61,21 @@ def recommendation_text(cfg: SignalConfig = SignalConfig(), rule: Column | None
     return expr.otherwise(_sentence(SENTENCE_OTHERWISE, qty, cfg))
 
 
-def recommend(anomalies: DataFrame, inventory: DataFrame,
-              cfg: SignalConfig = SignalConfig()) -> DataFrame:
+def recommend(anomalies: DataFrame, inventory: DataFrame, cfg: SignalConfig = SignalConfig(),
+              partitioned_by_series: bool = False) -> DataFrame:
     """anomalies LEFT JOIN latest inventory row on (store, item) -> actions.
 
     The action type depends on the rule alone and the id on date, series and
     rule, so equal narrow rows are the duplicates. They are removed on the
-    partitioning by series, which the join with the latest rows reuses.
+    partitioning by series, which the join with the latest rows reuses; with
+    ``partitioned_by_series`` (tables of ``read_by_series``) that is the stored one.
     """
     latest = latest_rows(inventory).select(
         *SERIES_KEYS, F.col("date").alias("latest_date"), "closing_stock", "forecast_units",
         "dept_id", "cat_id")
     base = (anomalies.select("anomaly_id", "date", *SERIES_KEYS, "rule_name")
-            .withColumn("action_type", action_type())
-            .repartition(*SERIES_KEYS).distinct())
+            .withColumn("action_type", action_type()))
+    base = (base if partitioned_by_series else base.repartition(*SERIES_KEYS)).distinct()
     return (base.join(latest, on=list(SERIES_KEYS), how="left")
             .select("anomaly_id", "date", *SERIES_KEYS, "action_type",
                     recommendation_text(cfg).alias("recommendation")))

@@ -22,7 +22,7 @@ from ..operators.stock import inventory_table, project_stock
 from ..functions.checks import assert_unique
 from ..functions.watch import DemandWatch
 from ..session import materialize, remove, write_text
-from ..sources.files import read_raw_inputs, read_table, table_path, write_table
+from ..sources.files import read_raw_inputs, read_table, rejected_raw, table_path, write_table
 
 DIAGNOSIS_TABLE = "diagnosis"
 DIAGNOSIS_TEXT = "diagnosis_report.txt"
@@ -187,10 +187,15 @@ def run_tables(spark: SparkSession, sales: DataFrame, calendar: DataFrame, price
 def run_pipeline(spark: SparkSession, raw_dir: str | Path, out_dir: str | Path,
                  cfg: SignalConfig = SignalConfig(), lenient: bool = False,
                  check_keys: bool = False) -> dict[str, str]:
-    """Three CSV inputs in ``raw_dir`` -> five Parquet tables in ``out_dir``."""
+    """Three CSV inputs in ``raw_dir`` -> five Parquet tables in ``out_dir``. A
+    lenient run also writes ``rejected_raw``, the lines that it read with nulls in
+    place of bad cells."""
     sales, calendar, prices = read_raw_inputs(spark, raw_dir, lenient)
-    return run_tables(spark, sales, calendar, prices, out_dir, cfg, lenient=lenient,
-                      check_keys=check_keys)
+    paths = run_tables(spark, sales, calendar, prices, out_dir, cfg, lenient=lenient,
+                       check_keys=check_keys)
+    if lenient:
+        paths["rejected_raw"] = write_table(rejected_raw(spark, raw_dir), out_dir, "rejected_raw")
+    return paths
 
 
 def run_diagnosis(spark: SparkSession, artifacts_dir: str | Path,

@@ -305,6 +305,68 @@ SELECT anomaly_id, string_agg(concat_ws(' | ', CAST(round AS VARCHAR), candidate
          CASE candidate_name {_prompts} END, CAST(score AS VARCHAR), score_notes, response),
          {NL} ORDER BY round) AS rounds_text
 FROM cands GROUP BY anomaly_id"""
-ORACLE_SQL["demand_from_csv"] = ORACLE_SQL["demand_timeseries"] + " WHERE units_sold IS NOT NULL"
-ORACLE_SQL["pipeline_tables"] = _with(*_ALL) + """
-SELECT anomaly_id, date, store_id, item_id, action_type, recommendation FROM recs"""
+_TOP_ID = """
+  SELECT anomaly_id FROM anoms
+  ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, date DESC, anomaly_id
+  LIMIT 1"""
+ORACLE_SQL["diagnosis_job"] = ORACLE_SQL["diagnosis_best"]
+ORACLE_SQL["diagnosis_by_id"] = ORACLE_SQL["diagnosis_best"] + """
+WHERE b.anomaly_id IN (
+  SELECT anomaly_id FROM (SELECT anomaly_id, row_number() OVER (PARTITION BY rule_name
+    ORDER BY date DESC, anomaly_id DESC) AS nth FROM anoms) WHERE nth = 1)"""
+ORACLE_SQL["diagnosis_report"] = (
+    "SELECT explanation AS report FROM (" + ORACLE_SQL["diagnosis_top"] + ")")
+# Every series has a row for each day of the calendar; days without sales have no units.
+ORACLE_SQL["demand_from_csv"] = _with(INPUTS) + """
+SELECT c.date, c.d, g.store_id, g.state_id, g.item_id, g.item_id AS dept_id, '""" + CATEGORY + """' AS cat_id,
+       s.units_sold, p.sell_price AS price, c.event_name_1, c.event_type_1,
+       CASE WHEN c.event_name_1 IS NOT NULL THEN 1 ELSE 0 END AS is_promo
+FROM (SELECT DISTINCT store_id, item_id, state_id FROM sales) g CROSS JOIN cal c
+LEFT JOIN sales s ON s.store_id = g.store_id AND s.item_id = g.item_id AND s.k = c.k
+LEFT JOIN prices p ON p.store_id = g.store_id AND p.item_id = g.item_id AND p.wm_yr_wk = c.wm_yr_wk"""
+ORACLE_SQL["rejected_raw"] = _with(INPUTS) + """
+SELECT 'sell_prices.csv' AS source, concat_ws(',', store_id, item_id, wm_yr_wk, 'n/a') AS raw
+FROM prices WHERE wm_yr_wk % 11 = 0"""
+ORACLE_SQL["demand_figures"] = _with(INPUTS) + f"""
+, marked AS (SELECT s.*, (s.k + 1) % 13 = 0 AS undated, floor(s.k / {WEEK_DAYS}) + 1 AS week FROM sales s),
+priced AS (
+  SELECT m.*, p.sell_price IS NOT NULL AS priced FROM marked m LEFT JOIN prices p
+  ON p.store_id = m.store_id AND p.item_id = m.item_id AND p.wm_yr_wk = m.week AND NOT m.undated),
+twice AS (SELECT count(*) AS n FROM priced WHERE priced AND week % 10 = 0)
+SELECT unnest(['sales_rows', 'sales_without_units', 'undated_rows', 'rows_added_by_calendar', 'rows_added_by_prices',
+               'rows_without_price', 'ledger_rows', 'repeated_dates']) AS figure,
+       CAST(unnest([(SELECT count(*) FROM sales), 0, (SELECT count(*) FROM marked WHERE undated), 0,
+                    (SELECT n FROM twice), (SELECT count(*) FROM priced WHERE NOT priced),
+                    (SELECT count(*) FROM marked WHERE NOT undated) + (SELECT n FROM twice),
+                    (SELECT n FROM twice)]) AS BIGINT) AS value"""
+_SET = """
+SELECT 'processed_demand' AS table_name, date, store_id, item_id, d AS label, units_sold AS value_1,
+       CAST(price AS DOUBLE) AS value_2, event_name_1 AS text FROM demand
+UNION ALL SELECT 'forecast', date, store_id, item_id, NULL, coalesce(rolling_mean, units_sold, 0), NULL, NULL FROM base
+UNION ALL SELECT 'inventory_fulfillment', date, store_id, item_id, CAST(stockout_flag AS VARCHAR),
+       CAST(opening_stock AS DOUBLE), CAST(closing_stock AS DOUBLE), state_id FROM ledger
+UNION ALL SELECT 'validation_logs', date, store_id, item_id, rule_name, metric_value, expected_value, anomaly_id
+  FROM anoms
+UNION ALL SELECT 'recommendations', date, store_id, item_id, action_type, NULL, NULL, recommendation FROM recs"""
+ORACLE_SQL["pipeline_tables"] = ORACLE_SQL["build_all"] = _with(*_ALL) + _SET
+ORACLE_SQL["actions_by_series"] = ORACLE_SQL["diagnosis_best"].replace(
+    "SELECT b.anomaly_id,", "SELECT r2.store_id, r2.item_id, r2.action_type, r2.recommendation, b.anomaly_id,", 1
+).replace("b.score AS best_score,", "", 1) + " JOIN recs r2 ON r2.anomaly_id = b.anomaly_id"
+# The same SQL printed with other numbers in the places of the defaults.
+_OTHER = (
+    (f"ROWS BETWEEN {CFG.window_rows} PRECEDING", "ROWS BETWEEN 7 PRECEDING"),
+    (f"rolling_mean * {dbl(CFG.spike_multiplier)}", f"rolling_mean * {dbl(2.5)}"),
+    (f"rolling_mean * {dbl(CFG.drop_multiplier)}", f"rolling_mean * {dbl(0.3)}"),
+    (f"forecast_units * {dbl(CFG.low_cover_days)}", f"forecast_units * {dbl(2.0)}"),
+    (f"fulfillment_rate < {dbl(CFG.min_fulfillment_rate)}", f"fulfillment_rate < {dbl(0.75)}"),
+    (f"CAST({dbl(CFG.min_fulfillment_rate)} AS DOUBLE) AS expected_value",
+     f"CAST({dbl(0.75)} AS DOUBLE) AS expected_value"),
+    (f"forecast_units * {dbl(CFG.restock_cover_days)}", f"forecast_units * {dbl(5.0)}"),
+    ("to restore 3-day", "to restore 5-day"),
+)
+_sql = _with(*_ALL) + """
+SELECT a.*, r.action_type, r.recommendation FROM anoms a JOIN recs r ON r.anomaly_id = a.anomaly_id"""
+for _was, _now in _OTHER:
+    assert _was in _sql, _was
+    _sql = _sql.replace(_was, _now)
+ORACLE_SQL["other_settings"] = _sql

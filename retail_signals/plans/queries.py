@@ -15,17 +15,20 @@ from pyspark.sql import functions as F
 from ..config import SignalConfig
 from ..operators.baseline import attach_forecast, build_forecast, with_baseline
 from ..operators.demand import attach_calendar, build_demand, enrich_demand, unpivot_days
-from ..operators.diagnose import candidate_rows, diagnose_all, top_anomaly
+from ..operators.diagnose import candidate_rows, diagnose_all, diagnose_ids, diagnose_one, top_anomaly
 from ..operators.recommend import latest_rows, recommend
 from ..operators.rules import (ANOMALY_COLUMNS, demand_drops, demand_spikes, detect,
                                fulfillment_drops, low_inventory, missing_prices, union_rules)
 from ..operators.stock import inventory_table
 from ..session import checkpoint_dir, materialize
 from ..sources import testdata
-from ..sources.files import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_inputs
-from .jobs import ledger_from_demand, run_tables
+from ..sources.files import CALENDAR_FILE, PRICES_FILE, SALES_FILE, read_raw_inputs, read_table, rejected_raw
+from ..sources.layout import read_by_series, write_by_series
+from .jobs import DIAGNOSIS_TEXT, LEDGER_STAGE, build_all, ledger_from_demand, run_diagnosis
+from .runs import manifest, run_set
 
 CFG = SignalConfig()
+DIAGNOSIS = ("anomaly_id", "best_candidate", "best_score", "explanation")
 
 
 def demand(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,17 +155,44 @@ def q_diagnosis_best(spark, sf):
 
 
 def q_diagnosis_top(spark, sf):
-    """The one-anomaly use: the top anomaly's series alone is read from the
-    ledger for its context and its recommendations."""
-    led = materialize(ledger(spark, sf))
-    top = top_anomaly(detect(led, CFG).select(*ANOMALY_COLUMNS)).collect()
-    row = spark.createDataFrame(top, detect(led, CFG).select(*ANOMALY_COLUMNS).schema)
+    """The one-anomaly use: the top anomaly of the fused stream, then the fold of
+    its series alone for its context and its recommendation."""
+    rows = demand(spark, sf)
+    top = top_anomaly(detect(ledger_from_demand(rows, CFG), CFG).select(*ANOMALY_COLUMNS))
+    found = top.collect()
     series = F.lit(False)
-    for found in top:
-        series = (F.col("store_id") == found["store_id"]) & (F.col("item_id") == found["item_id"])
-    inventory = inventory_table(led.filter(series))
-    return diagnose_all(row, inventory, recommend(row, inventory, CFG), CFG).select(
-        "anomaly_id", "best_candidate", "best_score", "explanation")
+    for row in found:
+        series = F.col("store_id").eqNullSafe(row["store_id"]) & F.col("item_id").eqNullSafe(row["item_id"])
+    inventory = inventory_table(ledger_from_demand(rows.filter(series), CFG))
+    return diagnose_one(spark.createDataFrame(found, top.schema), inventory, None).select(*DIAGNOSIS)
+
+
+def _written(spark: SparkSession, sf: str) -> tuple[str, dict[str, str]]:
+    """All tables of a run over the test inputs, published as one set."""
+    out = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    return out, run_set(spark, *testdata.inputs(spark, sf), out, "run", CFG, long_form=True)
+
+
+def q_diagnosis_by_id(spark, sf):
+    """Lookups in the stored tables: the latest anomaly of each rule by its id."""
+    out, _ = _written(spark, sf)
+    anomalies, inventory, recs = (read_table(spark, out, n) for n in (
+        "validation_logs", "inventory_fulfillment", "recommendations"))
+    latest = anomalies.groupBy("rule_name").agg(F.max(F.struct("date", "anomaly_id")).alias("last")).collect()
+    return diagnose_ids(anomalies, inventory, recs, [r["last"]["anomaly_id"] for r in latest], CFG).select(*DIAGNOSIS)
+
+
+def q_diagnosis_job(spark, sf):
+    """The diagnosis job over a published run, with its stored table read back."""
+    out, _ = _written(spark, sf)
+    return run_diagnosis(spark, out, all_anomalies=True).select(*DIAGNOSIS)
+
+
+def q_diagnosis_report(spark, sf):
+    """The report file of the top anomaly, as written and read back."""
+    out, _ = _written(spark, sf)
+    run_diagnosis(spark, out, f"{out}/report")
+    return spark.read.text(f"{out}/report/{DIAGNOSIS_TEXT}", wholetext=True).select(F.col("value").alias("report"))
 
 
 def q_diagnosis_stored(spark, sf):
@@ -181,27 +211,103 @@ def q_diagnosis_rounds(spark, sf):
     return _diagnosis(spark, sf).select("anomaly_id", F.array_join(line, "\n").alias("rounds_text"))
 
 
-def q_demand_from_csv(spark, sf):
-    """The CSV path: wide sales, calendar and prices written as CSV into the
-    checkpoint folder, read by the typed readers, built into the demand table."""
+def _csv_inputs(spark: SparkSession, sf: str, prices_line=None) -> str:
+    """The three inputs as CSV folders; ``prices_line`` makes the price cells."""
     raw = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
     _, calendar, prices = testdata.inputs(spark, sf)
     wide = testdata.wide_sales(spark, sf)
-    wide = wide if "id" in wide.columns else wide.withColumn("id", F.concat_ws("_", "item_id", "store_id"))
+    if prices_line is not None:
+        prices = prices.withColumn("sell_price", prices_line)
     for name, df in ((SALES_FILE, wide), (CALENDAR_FILE, calendar), (PRICES_FILE, prices)):
         df.write.option("header", True).csv(f"{raw}/{name}")
-    sales, calendar, prices = read_raw_inputs(spark, raw)
-    return build_demand(sales, calendar, prices).filter("units_sold IS NOT NULL")
+    return raw
+
+
+def q_demand_from_csv(spark, sf):
+    """The CSV path: wide sales, calendar and prices written as CSV into the
+    checkpoint folder, read by the typed readers, built into the demand table:
+    a row for each series and day, with null units where nothing was sold."""
+    return build_demand(*read_raw_inputs(spark, _csv_inputs(spark, sf)))
+
+
+def q_rejected_raw(spark, sf):
+    """Prices of every eleventh week written as ``n/a``: the lines that lenient
+    reading rejects."""
+    faulty = F.when(F.col("wm_yr_wk") % 11 == 0, F.lit("n/a")).otherwise(F.col("sell_price").cast("string"))
+    return rejected_raw(spark, _csv_inputs(spark, sf, faulty)).select("source", "raw")
+
+
+def _rows_of(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of all tables of a run in common columns, one table under another."""
+    none = F.lit(None)
+    shown = {
+        "processed_demand": ("d", "units_sold", "price", "event_name_1"),
+        "rejected_demand": ("d", "units_sold", "price", "event_name_1"),
+        "forecast": (none, "forecast_units", none, none),
+        "inventory_fulfillment": (F.col("stockout_flag").cast("string"), "opening_stock", "closing_stock", "state_id"),
+        "validation_logs": ("rule_name", "metric_value", "expected_value", "anomaly_id"),
+        "recommendations": ("action_type", none, none, "recommendation"),
+    }
+    found = None
+    for name, (label, first, second, text) in shown.items():
+        col = lambda c: F.col(c) if isinstance(c, str) else c
+        part = tables[name].select(
+            F.lit(name).alias("table_name"), "date", "store_id", "item_id", col(label).cast("string").alias("label"),
+            col(first).cast("double").alias("value_1"), col(second).cast("double").alias("value_2"),
+            col(text).cast("string").alias("text"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def q_pipeline_tables(spark, sf):
-    """The whole job: the tables written, read back and laid one under another."""
-    out = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    """The whole job, published as one set: rows of every written table, read back."""
+    _, paths = _written(spark, sf)
+    return _rows_of({name: spark.read.parquet(path) for name, path in paths.items()})
+
+
+def q_build_all(spark, sf):
+    """The same tables as lazy frames, nothing of them written."""
+    built = build_all(*testdata.inputs(spark, sf), CFG, long_form=True)
+    return _rows_of({"processed_demand": built.demand, "rejected_demand": built.rejected,
+                     "forecast": built.forecast, "inventory_fulfillment": built.inventory,
+                     "validation_logs": built.anomalies, "recommendations": built.recommendations})
+
+
+def q_demand_figures(spark, sf):
+    """Figures that a run observes while it writes, on inputs with planted gaps:
+    no calendar row for every 13th day, two prices in every tenth week."""
     sales, calendar, prices = testdata.inputs(spark, sf)
-    paths = run_tables(spark, sales, calendar, prices, out, CFG, long_form=True)
-    anomalies = spark.read.parquet(paths["validation_logs"]).select("anomaly_id", "date", "store_id", "item_id")
-    actions = spark.read.parquet(paths["recommendations"]).select("anomaly_id", "action_type", "recommendation")
-    return anomalies.join(actions, "anomaly_id")
+    day = F.regexp_extract("d", "[0-9]+$", 0).cast("int")
+    calendar = calendar.filter(day % 13 != 0)
+    prices = prices.unionByName(prices.filter(F.col("wm_yr_wk") % 10 == 0).withColumn("sell_price", F.lit(1.0)))
+    out = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    run_set(spark, sales, calendar, prices, out, "run", CFG, long_form=True, stop_after=LEDGER_STAGE)
+    figures = manifest(spark, out, "run")["figures"]
+    return spark.createDataFrame(sorted(figures.items()), "figure string, value long")
+
+
+def q_settings(spark, sf):
+    """Anomalies and their actions under settings other than the defaults."""
+    cfg = SignalConfig(window_rows=7, spike_multiplier=2.5, drop_multiplier=0.3, low_cover_days=2.0,
+                       min_fulfillment_rate=0.75, restock_cover_days=5.0)
+    led = materialize(ledger_from_demand(demand(spark, sf), cfg))
+    anomalies = detect(led, cfg).select(*ANOMALY_COLUMNS)
+    actions = recommend(anomalies, inventory_table(led), cfg)
+    return anomalies.join(actions.drop("date", "store_id", "item_id"), "anomaly_id")
+
+
+def q_actions_by_series(spark, sf):
+    """Recommendations and diagnosis over tables stored by series."""
+    folder = f"{checkpoint_dir(spark)}/retail_signals/{uuid4().hex}"
+    led = materialize(ledger(spark, sf))
+    tables = {"anomalies": detect(led, CFG).select(*ANOMALY_COLUMNS), "inventory": inventory_table(led)}
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    anomalies, inventory = (read_by_series(spark, write_by_series(df, f"{folder}/{name}", buckets))
+                            for name, df in tables.items())
+    actions = recommend(anomalies, inventory, CFG, partitioned_by_series=True)
+    texts = diagnose_all(anomalies, inventory, None, CFG, partitioned_by_series=True)
+    return (actions.select("store_id", "item_id", "anomaly_id", "action_type", "recommendation")
+            .join(texts.select("anomaly_id", "best_candidate", "explanation"), "anomaly_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -227,6 +333,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diagnosis_top": q_diagnosis_top,
     "diagnosis_stored": q_diagnosis_stored,
     "diagnosis_rounds": q_diagnosis_rounds,
+    "diagnosis_by_id": q_diagnosis_by_id,
+    "diagnosis_job": q_diagnosis_job,
+    "diagnosis_report": q_diagnosis_report,
     "demand_from_csv": q_demand_from_csv,
+    "rejected_raw": q_rejected_raw,
+    "demand_figures": q_demand_figures,
+    "other_settings": q_settings,
+    "actions_by_series": q_actions_by_series,
+    "build_all": q_build_all,
     "pipeline_tables": q_pipeline_tables,
 }
