@@ -5,7 +5,7 @@ In a block, documents over the row length are split without loss into whole rows
 and a rest; the pieces, longest first, go to the row with the least room that
 still holds them, found by a segment tree over the room of open rows. A row
 leaves as one record: ids, padded; cumulative segment lengths; positions, which
-start anew with each segment (a document's later pieces go on counting).
+start at 0 with each segment (``doc_starts`` has a piece's place in its document).
 
 Defined results: null text counts as empty and gives one segment, the end id;
 copies and repeated ids are packed as rows of their own; an empty table gives no
@@ -91,7 +91,7 @@ def packed_rows(df: DataFrame, ranks_path: str, pattern: str, json: str, end_id:
             ends = np.cumsum([0] + [sizes[i] for i in row])
             room = length - int(ends[-1])
             ids = b"".join(p[2] for p in own) + np.full(room, pad_id, "<u4").tobytes()
-            places = np.concatenate([np.arange(p[1], p[1] + len(p[2]) // 4) for p in own]
+            places = np.concatenate([np.arange(len(p[2]) // 4) for p in own]
                                     + [np.zeros(room, np.int64)]).astype("<u4").tobytes()
             cols["sequence_id"].append(first + k)
             cols["n_tokens"].append(int(ends[-1]))

@@ -127,6 +127,13 @@ def byte_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+def map_rows(df: DataFrame, run: Callable) -> DataFrame:
+    """``mapInArrow`` that keeps the columns of ``df``, whatever their names
+    (Spark can't read names with dots there): batches have them by place."""
+    placed = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+    return placed.mapInArrow(run, placed.schema).toDF(*df.columns)
+
+
 _SHINGLE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                      0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 

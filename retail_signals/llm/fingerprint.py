@@ -5,12 +5,12 @@ fraction of the hash range. Because the threshold is the same for all, sketches
 merge by union, and the share of the smaller sketch found in the larger one
 estimates containment between texts of very unequal length. A text whose hashes
 all lie above the threshold keeps its least one, so only texts without words
-have an empty sketch. That hash marks the text but is never compared: a longer
-text's sketch could not hold it.
+have an empty sketch. That hash marks the text but is not compared with a longer
+text's, whose sketch could not hold it.
 
-Defined results: null text counts as empty; the likeness of two empty sketches
-is 1, of an empty one and another 0, of one without a hash below the threshold
-and another that is not empty null (no estimate); rows follow each other by id, null ids
+Defined results: null text counts as empty; the likeness of equal sketches is 1,
+of an empty one and another 0, of one without a hash below the threshold and
+another 0 as well, with ``estimated`` false (nothing of it could be compared); rows follow each other by id, null ids
 first, then by text; an empty table gives no rows; other input columns are not
 read.
 """
@@ -29,7 +29,7 @@ FRACTION = 0.25
 HASH_BYTES = 6
 
 DIGESTS = ("n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
+           "near_edited double, near_next double, edited_estimated boolean, next_estimated boolean")
 
 
 def sketch(text: str, fraction: float = FRACTION) -> np.ndarray:
@@ -54,14 +54,21 @@ def merge(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> np.ndarra
     return kept if len(kept) else both[:1]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float | None:
-    """Share of the smaller sketch that the larger one holds, below the threshold;
-    None where one of them has words but no hash there."""
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
+def estimated(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> bool:
+    """Whether the likeness of two sketches rests on a comparison: they are equal,
+    one is empty, or both have hashes below the threshold."""
+    return (not len(a) or not len(b) or np.array_equal(a, b)
+            or bool(len(below(a, fraction)) and len(below(b, fraction))))
+
+
+def likeness(a: np.ndarray, b: np.ndarray, fraction: float = FRACTION) -> float:
+    """Share of the smaller sketch that the larger one holds, below the threshold:
+    1 for equal sketches, 0 where one has no hash there."""
+    if np.array_equal(a, b):
+        return 1.0
     a, b = below(a, fraction), below(b, fraction)
     if not len(a) or not len(b):
-        return None
+        return 0.0
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
@@ -140,7 +147,8 @@ def edited_digests(df: DataFrame, fraction: float = FRACTION) -> DataFrame:
         edited = text[:len(text) - part] + following[1][:part]
         changed = sketch(edited, fraction)
         return (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(own), to_text(changed),
-                likeness(own, changed, fraction), likeness(own, following[2], fraction))
+                likeness(own, changed, fraction), likeness(own, following[2], fraction),
+                estimated(own, changed, fraction), estimated(own, following[2], fraction))
 
     def run(batches):
         last, last_bucket = None, None

@@ -21,7 +21,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_texts, slices
+from .common import map_rows, map_texts, slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "ssn", "card_short", "phone_local")
@@ -212,7 +212,7 @@ def redacted(text: str) -> str:
 def redact(df: DataFrame) -> DataFrame:
     """The rows of ``df`` with personal data in ``text`` replaced; ``n_chars``,
     where there is one, follows the new text. Null texts stay null."""
-    names, schema = df.columns, df.schema
+    names = df.columns
     at = names.index("text")
     sized = names.index("n_chars") if "n_chars" in names else None
 
@@ -228,4 +228,4 @@ def redact(df: DataFrame) -> DataFrame:
                                        type=part.schema.field(sized).type)
             yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
-    return df.mapInArrow(run, schema)
+    return map_rows(df, run)

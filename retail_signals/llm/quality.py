@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, record_batch, slices, text_of
+from .common import map_rows, map_texts, record_batch, slices, text_of
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -176,4 +176,4 @@ def filter_documents(df: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows
             keep = [not rejects(t or "", order) for t in part.column(at).to_pylist()]
             yield part.filter(pa.array(keep, type=pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return map_rows(df, run)

@@ -1,14 +1,20 @@
-"""Token counts of whole texts by units between stable offsets.
-
-A huge text is cut into units in chunks that overlap; each unit's tokens are
-counted once and cached, so the overlaps themselves are not encoded. Neighbours
-are spliced at the first offset that starts a unit in both. Such an
-offset is stable: it stands between a character that is no space and a space or
-line end, and no piece of the vocabulary holds a space after another character
-or a line end at all (checked when the vocabulary is loaded), so no merge
-crosses it. Where the overlap has no common offset, it is widened, at most until
-it covers the next chunk. Texts with the marker character or NUL, however long,
-are encoded whole.
+"""Token counts of whole texts; huge ones in overlapping chunks that resynchronise.
+
+A huge text is encoded in chunks of ``size`` characters, each beginning
+``overlap`` characters before the end of the one before it, with the byte offsets
+of all tokens. Neighbours are spliced at a token that both have at the same
+offsets. Such a boundary is proven stable: tokens are those of the whole text
+when each two that follow each other are left apart by the encoder (a merge over
+a boundary would happen between these two alone as well), every two up to the
+common token follow each other in the first chunk, and every two from it on in
+the second. The space that the library puts before a chunk can change the first
+tokens of the second chunk, but these lie before the common one. Where an overlap
+has no common token, it is doubled and the second chunk encoded again; where it
+would reach the first chunk's start, the whole text goes to the library.
+
+Shorter texts are counted by units (a space or line end and what follows it) with
+a bounded cache: no piece of the vocabulary holds a space after another character
+or a line end (checked when it is loaded), so no merge crosses their edges.
 
 Defined results: null text counts as empty (0 tokens); a null id stays null;
 copies and repeated ids each give their row; an empty table gives no rows; other
@@ -17,7 +23,8 @@ input columns are not read.
 from __future__ import annotations
 
 import re
-from itertools import accumulate, chain
+from bisect import bisect_left
+from itertools import chain
 
 from pyspark.sql import DataFrame
 
@@ -75,47 +82,39 @@ class PieceCounter:
         self.learn(set(chain.from_iterable(u[1:] for u in split if u)))
         return [self.whole(t) if u is None or not u[0] else self.of_units(u) for t, u in zip(texts, split)]
 
-    def chunk(self, text: str, lo: int, hi: int):
-        """Offsets at which units of text[lo:hi] start and the units; None
-        where the text can't be cut into units."""
-        units = self.units(text[lo:hi])
-        if units is None:
-            return None
-        if lo and units and units[0][:1] in (" ", "\n", ""):
-            units = ["", *units] if units[0] else units
-        return list(accumulate(map(len, units[:-1]), initial=lo)), units
+    def chunk(self, text: str, base: int) -> list[tuple[int, int, int]]:
+        """(begin, end, id) of a chunk's tokens, in bytes of the whole text."""
+        found = self.library.encode(text, return_type="proto").pieces
+        return [(base + p.begin, base + p.end, p.id) for p in found]
+
+    @staticmethod
+    def common(tokens: list, first: int, after: list) -> tuple[int, int] | None:
+        """Places of the first token, from ``first`` on, that both chunks have."""
+        place = {t: j for j, t in enumerate(after) if t[1] > t[0]}
+        start = after[0][0] if after else 0
+        for i in range(max(first, bisect_left(tokens, (start,))), len(tokens)):
+            if tokens[i] in place:
+                return i, place[tokens[i]]
+        return None
 
     def huge(self, text: str, size: int, overlap: int) -> int:
-        if self.units(text) is None:
-            return self.whole(text)
-        total, lo, carry = 0, 0, 0  # carry: the proven offset from which tokens count on
-        n = len(text)
-        while True:
-            wide = overlap
+        n, lo, hi, base, first, total = len(text), 0, min(len(text), size), 0, 0, 0
+        tokens = self.chunk(text[:hi], 0)
+        while hi < n:
+            wide, to = overlap, min(n, hi + size)
             while True:
-                hi = min(n, lo + size + wide)
-                starts, units = self.chunk(text, lo, hi)
-                if hi == n:
-                    return total + self.span(text, starts, units, carry, n)
-                edge = hi - 2 * wide if hi - 2 * wide > carry else carry
-                after = self.chunk(text, edge, min(n, edge + size + wide))[0]
-                both = set(starts[1:]) & set(after[1:])
-                common = min((p for p in both if p > carry), default=None)
-                if common is not None:
+                at = hi - wide
+                if at <= lo:
+                    return self.whole(text)
+                after_base = base + len(text[lo:at].encode())
+                after = self.chunk(text[at:to], after_base)
+                met = self.common(tokens, first, after)
+                if met:
                     break
                 wide *= 2
-            total += self.span(text, starts, units, carry, common)
-            lo, carry = edge, common
-
-    def span(self, text: str, starts: list[int], units: list[str], lo: int, hi: int) -> int:
-        """Tokens between two stable offsets of a chunk (or its text's ends)."""
-        own = [u for s, u in zip(starts, units) if lo <= s < hi and u]
-        if not own:
-            return 0
-        self.learn(set(own[1:] if lo == 0 else own))
-        if lo == 0:
-            return self.of_units(own)
-        return sum(map(self.cache.__getitem__, own))
+            total += met[0] + 1 - first
+            tokens, first, lo, hi, base = after, met[1] + 1, at, to, after_base
+        return total + len(tokens) - first
 
     def count(self, texts: list[str], size: int, overlap: int) -> list[int]:
         brief = iter(self.short([t for t in texts if len(t) <= size]))

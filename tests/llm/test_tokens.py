@@ -63,6 +63,41 @@ def test_counts_equal_the_library_for_any_chunk_size():
         assert counter.count(texts, size, overlap) == expected
 
 
+def test_chunks_resynchronise_or_widen(monkeypatch):
+    """Texts with the marker, without spaces, of one letter; overlaps that hold no
+    common token are widened, at last to the whole text."""
+    counter = token_count.PieceCounter(PIECES)
+    rnd = random.Random(9)
+    texts = ["a" * n for n in (50, 99, 500)] + ["ab" * 300, "▁" * 400, " " * 401, "\n" * 333, "\0" * 200, "日本語" * 200,
+                                               "Ａ" * 150, "😀é" * 200]
+    texts += ["".join(rnd.choice("aab▁ ") for _ in range(900)) for _ in range(40)]
+    texts += ["".join(rnd.choice(["in", "ter", "nation", "al", "ization", "s"]) for _ in range(400)) for _ in range(40)]
+    chunks, wholes = [], []
+    chunk, whole = counter.chunk, counter.whole
+    monkeypatch.setattr(counter, "chunk", lambda t, base: chunks.append(len(t)) or chunk(t, base))
+    monkeypatch.setattr(counter, "whole", lambda t: wholes.append(len(t)) or whole(t))
+    plain = 0
+    for size, overlap in ((16, 2), (60, 8), (200, 40)):
+        for t in texts:
+            if len(t) > size:
+                assert counter.huge(t, size, overlap) == len(counter.library.encode(t)), (t[:50], size)
+                plain += -(-len(t) // size)
+    assert len(chunks) > plain          # some chunks were encoded again with a wider overlap
+    assert 0 < len(wholes) < 100        # few texts never met
+    assert max(chunks) <= 200 + 200 + 40
+
+
+def test_a_huge_text_is_encoded_in_overlapping_chunks(monkeypatch):
+    counter = token_count.PieceCounter(PIECES)
+    text = "".join(fuzz(4000, 8))
+    assert len(text) > 150_000 and "▁" in text and "\0" in text
+    sizes, chunk = [], counter.chunk
+    monkeypatch.setattr(counter, "chunk", lambda t, base: sizes.append(len(t)) or chunk(t, base))
+    monkeypatch.setattr(counter, "whole", None)
+    assert counter.huge(text, 16_384, 256) == len(counter.library.encode(text))
+    assert sum(sizes) > len(text) and max(sizes) == 16_384 + 256
+
+
 DOCS = [(1, "the cat sat " * 900), (2, None), (3, ""), (4, "x"), (4, "x"), (None, "null id"), (5, "word " * 3000),
         *((100 + i, "some words here " * (i % 40)) for i in range(80))]
 
@@ -143,7 +178,7 @@ def test_best_fit_rows_against_brute_force(spark):
         ids, places = np.frombuffer(r["input_ids"], "<u4"), np.frombuffer(r["position_ids"], "<u4")
         assert len(ids) == len(places) == 64 and r["cu_seqlens"][-1] == r["n_tokens"]
         for doc, start, a, b in zip(r["doc_ids"], r["doc_starts"], r["cu_seqlens"], r["cu_seqlens"][1:]):
-            assert places[a:b].tolist() == list(range(start, start + b - a))
+            assert places[a:b].tolist() == list(range(b - a))
             pieces[doc].append((start, ids[a:b].tolist()))
     for i, text in DOCS:
         if i != 4:
