@@ -3,8 +3,9 @@
 Patterns propose candidate spans in every whole text. Each candidate's value is
 hashed (of a private key the whole body, without line ends), and the hashes are
 counted over the corpus by distinct repositories and owners: a value that several
-owners hold is a widely copied example, one that stays with few owners and looks
-random is a live-looking credential.
+owners hold, or two owners in many repositories, is a widely copied example; one
+that stays with one owner (in however many repositories) or with two in few, and
+looks random, is a live-looking credential.
 
 Only DataFrame and SQL functions run on the data. Defined results: null text
 counts as empty (no spans); a null owner or repository counts as one of its own;
@@ -20,6 +21,8 @@ from .common import stage, text_of
 
 #: A line end in a key block, as it is or escaped (keys in JSON).
 _EOL = "(?:\\s|\\\\+[nrt])"
+#: What ends a header line: at least one of these, not just a blank.
+_LINE_END = "(?:[\\r\\n]|\\\\+[nrt])"
 
 #: Kinds in their fixed order: pattern, and the group that holds the value. Runs
 #: are maximal, so a least length in the pattern drops the same matches as a
@@ -33,7 +36,7 @@ KINDS: dict[str, tuple[str, int]] = {
     # the whole block, with header lines, up to its END line; its value is the
     # body. Without an END line: the header and what follows it at once.
     "private_key": ("-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----"
-                    f"(?:{_EOL}*+(?:[A-Za-z][A-Za-z0-9-]{{0,40}}:[^\\r\\n\\\\]{{0,200}}{_EOL}++){{0,8}}+"
+                    f"(?:{_EOL}*+(?:[A-Za-z][A-Za-z0-9-]{{0,40}}:[^\\r\\n\\\\]{{0,200}}{_LINE_END}{_EOL}*+){{0,8}}+"
                     "((?:[A-Za-z0-9+/=\\s]++|\\\\+[nrt])*+)-----END \\1PRIVATE KEY-----"
                     "|\\s{0,4}[A-Za-z0-9+/=]{0,64})", 2),
 }
@@ -41,6 +44,8 @@ BASE_KINDS = ("assign", "access", "hex")
 MIN_ASSIGN = 6
 #: Owners from which on a value counts as a widely copied example.
 MIN_OWNERS = 3
+#: Repositories from which on a value of two owners counts as one, too.
+MIN_REPOSITORIES = 5
 PLACEHOLDER = "(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{8}|1234567"
 #: For key bodies, which are so long that four letters meet by chance.
 KEY_PLACEHOLDER = PLACEHOLDER.replace("your|xxxx", "x{8}")
@@ -113,17 +118,18 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan_documents(df: DataFrame, owner: str = "source", repository: str = "concat_ws('/', source, lang)",
-                   min_owners: int = MIN_OWNERS) -> DataFrame:
+                   min_owners: int = MIN_OWNERS, min_repositories: int = MIN_REPOSITORIES) -> DataFrame:
     """doc_id, ``spans`` (start, kind_no, end, n_owners, n_repositories,
     verdict: example, live or weak) in order. ``owner`` and ``repository`` are
     SQL expressions over the input."""
     staged, _ = stage(find_candidates(df, owner, repository))
+    copied = ((F.col("n_owners") >= min_owners)
+              | (F.col("n_owners") >= 2) & (F.col("n_repositories") >= min_repositories))
     found = (staged.filter("size(spans) > 0")
              .select("row", "doc_id", F.explode("spans").alias("s")).select("row", "doc_id", "s.*"))
     judged = found.join(ownership(staged), "hash").select("row", "doc_id", F.struct(
         "start", "kind_no", "end", "n_owners", "n_repositories",
-        F.when(F.col("n_owners") >= min_owners, "example").when(F.col("random"), "live")
-        .otherwise("weak").alias("verdict")).alias("s"))
+        F.when(copied, "example").when(F.col("random"), "live").otherwise("weak").alias("verdict")).alias("s"))
     with_spans = (judged.groupBy("row", "doc_id").agg(F.array_sort(F.collect_list("s")).alias("spans"))
                   .select("doc_id", "spans"))
     kind = with_spans.schema["spans"].dataType
@@ -132,7 +138,8 @@ def scan_documents(df: DataFrame, owner: str = "source", repository: str = "conc
 
 
 def digests(scanned: DataFrame) -> DataFrame:
-    """Counts of the base kinds, digest of the base spans, all spans, verdicts."""
+    """Counts of the base kinds, digest of the base spans; of all spans, their
+    places, verdicts and numbers of owners and repositories."""
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind_no"] < len(BASE_KINDS))
 
@@ -143,4 +150,6 @@ def digests(scanned: DataFrame) -> DataFrame:
         "doc_id", *(count(k).alias(f"n_{kind}") for k, kind in enumerate(BASE_KINDS)),
         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(spans).alias("spans"),
         F.array_join(F.transform(spans, lambda s: s["verdict"]), ",").alias("verdicts"),
+        F.array_join(F.transform(spans, lambda s: s["n_owners"].cast("string")), ",").alias("owners"),
+        F.array_join(F.transform(spans, lambda s: s["n_repositories"].cast("string")), ",").alias("repositories"),
         F.size(F.filter(spans, lambda s: s["verdict"] == "live")).cast("long").alias("n_live"))

@@ -20,34 +20,68 @@ _SECRETS = (
     (2, "hex", "[0-9a-f]+", 0),
     (3, "provider", "gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}"
                     "|eyJ[A-Za-z0-9_-]{10,}\\.eyJ[A-Za-z0-9_-]{10,}\\.[A-Za-z0-9_-]{10,}", 0),
-    (4, "private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[ \\t\\n\\x0B\\f\\r]{0,4}[A-Za-z0-9+/=]{0,64}", 0),
+    (4, "private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", 0),  # the rest of the block comes after
 )
 
+_SPACE = "[ \\t\\n\\x0B\\f\\r]"
+_EOL = f"(?:{_SPACE}|\\\\+[nrt])"
+_BEGIN = "^-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----"
+#: At most eight header lines (RE2 takes no such count around others).
+_HEADERS = f"(?:[A-Za-z][A-Za-z0-9-]{{0,40}}:[^\\r\\n\\\\]{{0,200}}(?:[\\r\\n]|\\\\+[nrt]){_EOL}*)?" * 8
+_BLOCK = (f"{_BEGIN}{_EOL}*{_HEADERS}((?:[A-Za-z0-9+/=]|{_EOL})*)"
+          "-----END ([A-Z ]{0,30})PRIVATE KEY-----")
+_CUT_OFF = f"{_BEGIN}{_SPACE}{{0,4}}[A-Za-z0-9+/=]{{0,64}}"
+
 _FOUND = "\nUNION ALL\n".join(
     f"""SELECT r, {no} AS k, '{name}' AS kind, unnest(regexp_split_to_array(t, '{p}')[:len(regexp_extract_all(t, '{p}'))]) AS gap,
        unnest(regexp_extract_all(t, '{p}')) AS found, unnest(regexp_extract_all(t, '{p}', {group})) AS value,
        generate_subscripts(regexp_extract_all(t, '{p}'), 1) AS i
 FROM docs WHERE regexp_matches(t, '{p}')""" for no, name, p, group in _SECRETS)
 
+#: Key blocks start at their BEGIN lines; one inside an earlier block's header lines is none.
 OP2 = f"""
-WITH docs AS MATERIALIZED (
+WITH RECURSIVE docs AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, source AS owner, concat_ws('/', source, lang) AS repository,
          coalesce(text, '') AS t FROM documents),
 found AS ({_FOUND}),
-placed AS (
+placed AS MATERIALIZED (
   SELECT *, sum(length(gap) + length(found)) OVER (PARTITION BY r, k ORDER BY i) AS ends FROM found),
+heads AS (
+  SELECT r, CAST(ends - length(found) AS BIGINT) AS starts, substr(t, CAST(ends - length(found) AS BIGINT) + 1) AS rest
+  FROM placed JOIN docs USING (r) WHERE k = 4),
+blocks AS (
+  SELECT r, starts, regexp_extract(rest, '{_CUT_OFF}') AS cut_off, regexp_extract(rest, '{_BLOCK}') AS block,
+         regexp_extract(rest, '{_BLOCK}', 1) = regexp_extract(rest, '{_BLOCK}', 3) AS closed,
+         regexp_replace(regexp_extract(rest, '{_BLOCK}', 2), '{_EOL}', '', 'g') AS body
+  FROM heads),
+keys AS MATERIALIZED (
+  SELECT r, starts, starts + length(whole) AS ends, CASE WHEN whole = block AND body <> '' THEN body ELSE whole END AS value
+  FROM (SELECT *, CASE WHEN block <> '' AND closed THEN block ELSE cut_off END AS whole FROM blocks)),
+next_keys AS MATERIALIZED (
+  SELECT a.r, a.starts, min(b.starts) AS after
+  FROM keys a JOIN keys b ON a.r = b.r AND b.starts >= a.ends GROUP BY a.r, a.starts),
+own_keys AS (
+  SELECT r, min(starts) AS starts FROM keys GROUP BY r
+  UNION ALL
+  SELECT o.r, n.after FROM own_keys o JOIN next_keys n ON o.r = n.r AND o.starts = n.starts),
 spans AS (
   SELECT r, k, kind, CAST(ends - length(found) AS BIGINT) AS starts, CAST(ends AS BIGINT) AS ends, value FROM placed
   WHERE CASE k WHEN 0 THEN length(value) >= 6 WHEN 1 THEN length(found) >= 20
-               WHEN 2 THEN length(found) >= 24 ELSE true END),
+               WHEN 2 THEN length(found) >= 24 ELSE k = 3 END
+  UNION ALL
+  SELECT r, 4, 'private_key', starts, ends, value FROM keys SEMI JOIN own_keys USING (r, starts)),
 owners AS (
-  SELECT value, count(*) AS n_owners
-  FROM (SELECT DISTINCT s.value, d.owner FROM spans s JOIN docs d USING (r)) GROUP BY value),
+  SELECT value, count(*) AS n_owners, CAST(sum(own) AS BIGINT) AS n_repositories
+  FROM (SELECT value, owner, count(*) AS own
+        FROM (SELECT DISTINCT s.value, d.owner, d.repository FROM spans s JOIN docs d USING (r))
+        GROUP BY value, owner) GROUP BY value),
 judged AS (
-  SELECT s.*, kind || ':' || starts || ':' || ends AS span,
-         CASE WHEN n_owners >= 3 THEN 'example'
+  SELECT s.*, n_owners, n_repositories, kind || ':' || starts || ':' || ends AS span,
+         CASE WHEN n_owners >= 3 OR n_owners = 2 AND n_repositories >= 5 THEN 'example'
               WHEN length(value) >= 16 AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-                   AND NOT regexp_matches(value, '(?i)example|sample|dummy|changeme|placeholder|your|xxxx|0{{8}}|1234567')
+                   AND NOT regexp_matches(value, '(?i)example|sample|dummy|changeme|placeholder|0{{8}}|1234567')
+                   AND NOT CASE WHEN k = 4 AND NOT starts_with(value, '-----BEGIN') THEN regexp_matches(value, '(?i)x{{8}}')
+                                ELSE regexp_matches(value, '(?i)your|xxxx') END
               THEN 'live' ELSE 'weak' END AS verdict
   FROM spans s JOIN owners USING (value)),
 listed AS (
@@ -55,11 +89,13 @@ listed AS (
          string_agg(span, ',' ORDER BY starts, k) FILTER (k < 3) AS base,
          string_agg(span, ',' ORDER BY starts, k) AS spans,
          string_agg(verdict, ',' ORDER BY starts, k) AS verdicts,
+         string_agg(n_owners, ',' ORDER BY starts, k) AS owners,
+         string_agg(n_repositories, ',' ORDER BY starts, k) AS repositories,
          count(*) FILTER (verdict = 'live') AS n_live
   FROM judged GROUP BY r)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(verdicts, '') AS verdicts, coalesce(n_live, 0) AS n_live
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(verdicts, '') AS verdicts,
+       coalesce(owners, '') AS owners, coalesce(repositories, '') AS repositories, coalesce(n_live, 0) AS n_live
 FROM docs LEFT JOIN listed USING (r)
 """
 

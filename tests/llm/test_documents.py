@@ -62,6 +62,17 @@ def test_ownership_separates_copied_from_live(spark):
     assert out[0] == "example" and out[6] == out[9] == "live"
 
 
+def test_repositories_decide_between_two_owners(spark):
+    alone, few, many = ("token=" + c + "k3Zp7" + "q9" * 10 for c in "abc")
+    rows = [(1, alone, "x", f"l{k}") for k in range(9)] + [(2, few, f"s{k % 2}", f"l{k}") for k in range(4)]
+    rows += [(3, many, f"s{k % 2}", f"l{k}") for k in range(5)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = secret_scan.digests(secret_scan.scan_documents(df)).collect()
+    assert {(r.doc_id, r.verdicts, r.owners, r.repositories) for r in out} == {
+        (1, "live", "1", "9"), (2, "live", "2", "4"), (3, "example", "2", "5")}
+    assert len(out) == len(rows)
+
+
 def key_block(label, body, end="\n", headers=()):
     lines = [f"-----BEGIN {label}PRIVATE KEY-----", *headers, *([""] if headers else []),
              *(body[k:k + 64] for k in range(0, len(body), 64)), f"-----END {label}PRIVATE KEY-----"]
@@ -350,6 +361,20 @@ def test_filters_keep_columns_of_any_name(spark):
         assert step(df.limit(0)).count() == 0
 
 
+def key_texts():
+    """Key blocks of all forms, whole, cut off, with headers, mismatched and inside one another."""
+    rnd = random.Random(9)
+    ends, labels = ["\n", "\r\n", "\\n", "\\\\n", "\n \t", " "], ["", "RSA ", "OPENSSH ", "EC "]
+    bodies = ["", "MII" + "Ab3/" * 40, "MII" + "Qx7+" * 400 + "==", "Aa1" * 9, "your0Key" * 9, "x" * 9 + "A1" * 9, "a1" * 30 + "\u00e9"]
+    header = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES,3F17", "Note: -----BEGIN PRIVATE KEY-----", "X-1: a: b"]
+    for _ in range(400):
+        block = key_block(rnd.choice(labels), rnd.choice(bodies), rnd.choice(ends),
+                          [rnd.choice(header) for _ in range(rnd.choice([0, 0, 1, 2, 8, 9]))])
+        if rnd.random() < .3:
+            block = block.replace("-----END ", rnd.choice(["-----END RSA ", "", "-----END", "--"]))
+        yield rnd.choice(["", "\u00e9 ", "key="]) + block * rnd.choice([1, 1, 2]) + rnd.choice(["", "\nmore", "token=abcdef1"])
+
+
 OWN_TABLES = {"op13_residue_negatives"}  # has a test of its own over embeddings
 
 
@@ -357,8 +382,10 @@ OWN_TABLES = {"op13_residue_negatives"}  # has a test of its own over embeddings
 def test_sql_gives_the_same_rows(spark, tmp_path, name):
     parts = ["password", "SECRET", "api_key", "to\u212aen", "=", ": ", "'", "AKIA", "ABCDEFGH01234567", "0123456789abcdef",
              "example", " ", "\n", "\t", "\x0b", "é", "#", "a b c d e f g h ", "Word ", "UP ", "ghp_", "x" * 36,
-             "-----BEGIN PRIVATE KEY-----"]
-    rows = frame(spark, mixed(parts, 300, 12, (0, 1, 3, 8, 30, 90)))
+             "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----", "Mode: x"]
+    rows = mixed(parts, 300, 12, (0, 1, 3, 8, 30, 90))
+    rows += [(1000 + k, t) for k, t in enumerate(key_texts())]
+    rows = frame(spark, rows)
     rows = rows.withColumn("source", F.when(F.col("doc_id") % 5 > 0, F.col("source")))
     schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("source", pa.string()), ("lang", pa.string())])
     full = pa.Table.from_pylist([r.asDict() for r in rows.collect()], schema)
