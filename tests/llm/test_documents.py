@@ -187,6 +187,34 @@ def test_order_of_rules_never_changes_the_verdict():
         assert quality.rejects(text or "", quality.RULES) == quality.rejects(text or "", quality.RULES[::-1])
 
 
+def test_order_charges_shared_measures_once():
+    # rule 0 and 1 share an expensive measure, rule 2 is cheap but rejects what 0 rejects
+    masks = {"101": 30, "010": 40, "001": 1, "000": 100}
+    assert quality.best_order(masks, [.1, .1, 1.0], [{"words"}, {"words"}, set()], {"words": 9.0}) == [2, 1, 0]
+    assert quality.best_order(masks, [.1, .1, 9.0], [{"words"}, {"words"}, set()], {"words": 1.0}) == [1, 0, 2]
+    assert quality.best_order({"00": 5}, [2.0, 1.0], [set(), set()], {}) == [1, 0]
+
+
+def test_timed_measures_are_those_of_the_view():
+    for _, text in mixed(["a ", "b ", "#", "\n", "Word "], 100, 9):
+        timed, plain = quality.TimedView(text or ""), quality.View(text or "")
+        assert [rule(timed) for rule in quality.RULES] == [rule(plain) for rule in quality.RULES]
+        assert {"data", "words", "n_words"} <= set(timed.seconds) and all(x >= 0 for x in timed.seconds.values())
+
+
+def test_sample_opens_few_files(spark, tmp_path):
+    frame(spark, [(k, f"text {k}") for k in range(60)]).repartition(12).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert len(quality.sample_of(docs, 3, 1).inputFiles()) == 3 and quality.sample_of(docs, 20, 1) is docs
+    assert 0 < quality.sample_of(docs.select("doc_id", F.upper("text").alias("text")), 3, 1).count() < 60
+    spark.range(60).repartition(12).write.parquet(f"{tmp_path}/ids")
+    other = spark.read.parquet(f"{tmp_path}/ids").withColumn("text", F.lit("x"))
+    assert quality.sample_of(other, 3, 1) is other
+    joined = docs.join(docs.select("doc_id"), "doc_id")
+    for df in (docs, joined, other, docs.limit(0)):
+        assert sorted(map(str, quality.cascade_order(df, sample_files=3))) == sorted(map(str, quality.RULES))
+
+
 # fingerprints
 def test_edited_texts_and_next_documents(spark):
     rows = mixed(["one ", "two ", "three ", "é", "😀 "], 300, 7, (0, 1, 6, 40, 200))
