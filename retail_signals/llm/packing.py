@@ -5,7 +5,9 @@ windows of ``length`` ids become full sequences; its rest goes, as it arrives,
 to the fill level where it makes the sum of squared counts of partially filled
 sequences least, tracked in an array with one count a level. When a task has
 ``max_open`` sequences open, or its input ends, the emptiest open sequences are
-drained: their pieces are laid end to end and cut where a sequence is full. So
+dissolved: their pieces are placed anew by the same rule, but into the sequences
+that are open, not into new ones. A piece that none of these has room for is cut:
+it fills up the sequence that the rule would take, and its rest is placed. So
 memory is bounded, no id is lost, and a task pads at most its last sequence and
 a few ids (``slack``) in others.
 
@@ -83,38 +85,58 @@ class SumOfSquares:
         return out
 
     def drain(self, keep: int) -> list:
-        """Close all open sequences but the ``keep`` fullest: those full up to
-        ``slack`` as they are, the others end to end with cuts."""
-        levels = sorted(lv for lv, seqs in self.open.items() if seqs)
-        out, row, room = [], [], self.length
-        while self.n_open > keep and levels:
-            level = levels[0]
-            pieces = self.open[level].pop()
-            self.count[level] -= 1
-            self.n_open -= 1
-            if not self.open[level]:
-                levels.pop(0)
-            if self.length - level <= self.slack:
-                out += self.close(pieces)
-                continue
-            for doc, start, ids, total in pieces:
-                while ids:
-                    part, ids = ids[:4 * room], ids[4 * room:]
-                    row.append((doc, start, part, total))
-                    start += len(part) // 4
-                    room -= len(part) // 4
-                    if not room:
-                        out += self.close(row)
-                        row, room = [], self.length
-        if row and keep:  # the last one stays open
-            level = self.length - room
-            self.open[level].append(row)
-            self.count[level] += 1
-            self.n_open += 1
-        elif row:
-            out += self.close(row)
+        """Leave at most ``keep`` sequences open: close those full up to ``slack``
+        and dissolve the emptiest others."""
+        out = []
+        for level in range(self.length - self.slack, self.length):
+            while self.open[level]:
+                out += self.close(self.take(level))
+        while self.n_open > max(keep, 1):
+            for piece in self.take(int(np.flatnonzero(self.count)[0])):
+                out += self.refill(*piece)
+        if not keep and self.n_open:
+            out += self.close(self.take(int(np.flatnonzero(self.count)[0])))
         return out
 
+    def take(self, level: int) -> list:
+        self.count[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def put(self, pieces: list, level: int) -> list:
+        """Open a sequence again at its new level, or close it where it is full up
+        to ``slack``."""
+        if level >= self.length - self.slack:
+            return self.close(pieces)
+        self.open[level].append(pieces)
+        self.count[level] += 1
+        self.n_open += 1
+        return []
+
+    def refill(self, doc, start: int, ids: bytes, total: int) -> list:
+        """Place a piece of a dissolved sequence among the open ones."""
+        out = []
+        while ids and self.n_open:
+            size = len(ids) // 4
+            level = self.level_among(size)
+            pieces, room = self.take(level), min(size, self.length - level)
+            pieces.append((doc, start, ids[:4 * room], total))
+            out += self.put(pieces, level + room)
+            start, ids = start + room, ids[4 * room:]
+        return out + self.put([(doc, start, ids, total)], len(ids) // 4) if ids else out
+
+    def level_among(self, size: int) -> int:
+        """The level above 0 that makes the sum of squares least with a piece of
+        ``size`` ids; where no open sequence has room, that with the sequence to
+        fill up; of equal ones the fullest."""
+        n, top = self.count, self.length - size
+        change = 1 - 2 * n  # a sequence of the level gets full
+        change[:top] = 2 * (n[size:-1] - n[:top]) + 2
+        change[n == 0] = np.iinfo(np.int64).max
+        if n[:top + 1].any():
+            change[top + 1:] = np.iinfo(np.int64).max
+        return self.length - int(np.argmin(change[::-1]))
+
 
 def pack_documents(df: DataFrame, ranks_path: str, pattern: str, json: str, end_id: int = 1,
                    length: int = 2048, max_open: int = 1024, slack: int = 8,

@@ -158,6 +158,43 @@ def test_sum_of_squares_takes_the_least_level():
         packer.add(k, bytes(4 * size))
 
 
+def test_dissolved_sequences_are_placed_by_the_same_rule():
+    rnd = random.Random(3)
+    for slack in (0, 2):
+        packer = packing.SumOfSquares(12, 40, slack, 0)
+        sizes = [rnd.randint(0, 40) for _ in range(400)]
+        closed = [p for k, size in enumerate(sizes) for p in packer.add(k, bytes(4 * size))]
+        assert packer.n_open <= 40 and packer.n_open == packer.count.sum()
+        for size in range(1, 12):
+            n, level = packer.count.copy(), packer.level_among(size)
+
+            def cost(h):
+                after = n.copy()
+                after[h] -= 1
+                after[min(12, h + size)] += 1
+                return int((after[1:12] ** 2).sum())
+
+            fits = [h for h in range(1, 12) if n[h] and h + size <= 12] or [h for h in range(1, 12) if n[h]]
+            assert level == max(fits, key=lambda h: (-cost(h), h))
+        closed += packer.drain(5)
+        assert packer.n_open <= 5
+        closed += packer.drain(0)
+        assert not packer.n_open and not packer.count.any()
+        full, parts = defaultdict(int), defaultdict(list)
+        for doc, start, ids, total, seq, at in closed:
+            assert at == full[seq] and total == sizes[doc]
+            full[seq] += len(ids) // 4
+            parts[doc].append((start, len(ids) // 4))
+        assert max(full.values()) <= 12 and sum(full.values()) == sum(sizes)
+        assert sum(x < 12 - slack for x in full.values()) <= 1
+        for doc, own in parts.items():
+            at = 0
+            for start, size in sorted(own):
+                assert start == at and size
+                at += size
+            assert at == sizes[doc]
+
+
 def test_best_fit_rows_against_brute_force(spark):
     rnd = random.Random(5)
     for _ in range(100):
