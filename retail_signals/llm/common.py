@@ -65,6 +65,12 @@ def drop_stage(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def stage_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a staged table's files."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not use in any case."""
     taken = {c.lower() for c in df.columns}

@@ -2,15 +2,18 @@
 
 1. Each input partition permutes its rows locally (a sort by random numbers) and
    the rows, with their partition and local rank, become a staged table.
-2. The matrix of how many rows each partition sends to each cell (a fixed slice
-   of a shard) is drawn exactly, with the partition sizes and the cell sizes as
-   margins: a binary tree over the partitions splits the cells' rows between
-   the halves, each split a chain of hypergeometric draws.
-3. The first rows of a partition's permuted order go to the first cell, the next
-   to the second, and so on; this is the exchange.
-4. Each cell permutes its rows again; a row's slot is its cell's first slot plus
-   its rank. Cells hold ``cell_rows`` rows or so, so a shard of any size is
-   ordered by many tasks, and still uniformly: cells get uniform random sets.
+2. The matrix of how many rows each partition sends to each shard is drawn
+   exactly, with the partition sizes and the shard sizes as margins: a binary tree
+   over the partitions splits the shards' rows between the halves, each split a
+   chain of hypergeometric draws.
+3. The first rows of a partition's permuted order go to the first shard, the next
+   to the second, and so on. The matrix is bounded (``max_parts`` by the shards)
+   and broadcast, so looking a row's shard up moves no row.
+4. Each shard permutes its rows again, by a second random number: its range is cut
+   into equal cells, rows are exchanged by shard and cell (the only exchange of
+   whole rows) and ordered there. A cell starts at the number of rows in the cells
+   before it, which a pass over the random numbers alone counts. So a shard of any
+   size is ordered by many tasks.
 
 Only DataFrame and SQL functions run on the data. Defined results: any column
 may be null; copies and repeated ids are rows of their own; an empty table gives
@@ -21,11 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import fresh, stage, stage_bytes
 
 #: Half the width, in standard deviations, of the support that a draw looks at
 #: (beyond, the probability is below 1e-20).
 REACH = 10
+#: Largest matrix, in bytes of its numbers, that is broadcast.
+BROADCAST_BYTES = 8 << 20
 
 
 def _uniform(*parts: str) -> str:
@@ -89,7 +94,7 @@ def _sum(array: str) -> str:
 
 def communication_matrix(counts: DataFrame, cell_sizes: list[int], seed: int) -> DataFrame:
     """Rows (part, cells) for ``counts`` (part, rows): an exact draw of how many
-    rows each partition sends to each cell. A tree over the partitions, one level
+    rows each partition sends to each cell (here: shard). A tree over the partitions, one level
     at a time; below its top levels nodes are spread over tasks."""
     sizes = f"array({', '.join(f'{c}L' for c in cell_sizes)})"
     nodes = (counts.groupBy().agg(F.expr("array_sort(collect_list(struct(part, rows)))").alias("parts"))
@@ -113,20 +118,6 @@ def communication_matrix(counts: DataFrame, cell_sizes: list[int], seed: int) ->
     return nodes.select(F.expr("parts[0].part").alias("part"), "cells")
 
 
-def shard_cells(rows: int, shards: int, cell_rows: int) -> list[tuple[int, int, int]]:
-    """(shard, first slot, rows) of each cell; shard sizes differ by one at most."""
-    out = []
-    for shard in range(shards):
-        size = rows // shards + (shard < rows % shards)
-        n = max(1, -(-size // cell_rows))
-        at = 0
-        for k in range(n):
-            part = size // n + (k < size % n)
-            out.append((shard, at, part))
-            at += part
-    return out
-
-
 def _find(array: str, value: str) -> str:
     """How many of an ascending array's numbers are at most the value (binary search)."""
     return f"""aggregate(sequence(1, 32), named_struct('lo', 0, 'hi', size({array})),
@@ -137,34 +128,42 @@ def _find(array: str, value: str) -> str:
 
 
 def shuffle_to_shards(df: DataFrame, shards: int = 16, seed: int = 11, cell_rows: int = 50_000,
-                      max_cells: int = 2048) -> DataFrame:
+                      cell_bytes: int = 64 << 20, max_parts: int = 32_768) -> DataFrame:
     """``df`` with ``shard`` (int) and ``slot`` (long, gapless from 0): a uniform
     random permutation cut into shards of equal sizes, at most one row apart.
 
-    Cells hold ``cell_rows`` rows, or more where there would be over
-    ``max_cells`` of them: the matrix has a number for each partition and cell."""
+    A cell, the rows that one task orders, has some ``cell_rows`` rows or
+    ``cell_bytes`` of staged Parquet, whichever are fewer. Input splits are read by
+    at most ``max_parts`` tasks, so that the matrix can be broadcast; only with so
+    many shards that it passes ``BROADCAST_BYTES`` Spark chooses the join."""
     df = df.drop("shard", "slot")
-    part, rank, again, cell = (fresh(df, n) for n in ("part_", "rank_", "again_", "cell_"))
-    permuted = (df.withColumn(rank, F.rand(seed)).withColumn(again, F.rand(seed + 1))
+    part, rank, again, cell, where, ends, rows, at_shard, at_cell, first = (fresh(df, n) for n in (
+        "part_", "rank_", "again_", "cell_", "cell_of_", "ends_", "rows_", "at_shard_", "at_cell_", "first_"))
+    permuted = (df.coalesce(max_parts).withColumn(rank, F.rand(seed)).withColumn(again, F.rand(seed + 1))
                 .sortWithinPartitions(rank)
                 .withColumn(rank, F.monotonically_increasing_id())
                 .withColumn(part, F.shiftright(rank, 33))
                 .withColumn(rank, F.col(rank).bitwiseAND(F.lit((1 << 33) - 1))))
-    staged, _ = stage(permuted)
-    counts = staged.groupBy(F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("rows"))
-    total = staged.count()
-    cells = shard_cells(total, shards, max(cell_rows, -(-total // max_cells)))
-    matrix, _ = stage(communication_matrix(counts, [c[2] for c in cells], seed)
-                      .select("part", F.expr("""aggregate(cells, cast(array() AS array<bigint>),
-                          (a, x) -> array_append(a, coalesce(try_element_at(a, -1), 0L) + x))""").alias("ends")))
-    firsts = "array({})".format(", ".join(f"named_struct('shard', {s}, 'at', {a}L)" for s, a, _ in cells))
-    where, ends = fresh(df, "cell_of_"), fresh(df, "ends_")
-    sent = (staged.join(matrix.select(F.col("part").alias(where), F.col("ends").alias(ends)),
-                        F.col(part) == F.col(where))
-            .withColumn(cell, F.expr(_find(f"`{ends}`", f"`{rank}`"))))
-    order = f"row_number() OVER (PARTITION BY `{cell}` ORDER BY `{again}`, `{part}`, `{rank}`)"
-    return (sent.withColumn("slot", F.expr(f"{order} - 1 + element_at({firsts}, `{cell}` + 1).at"))
-            .withColumn("shard", F.expr(f"element_at({firsts}, `{cell}` + 1).shard"))
+    staged, path = stage(permuted)
+    counts, _ = stage(staged.groupBy(F.col(part).alias("part")).agg(F.count(F.lit(1)).alias("rows")))
+    parts, total = counts.agg(F.count("part"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    sizes = [total // shards + (k < total % shards) for k in range(shards)]
+    matrix, _ = stage(communication_matrix(counts, sizes, seed)
+                      .select(F.col("part").alias(where), F.expr("""aggregate(cells, cast(array() AS array<bigint>),
+                          (a, x) -> array_append(a, coalesce(try_element_at(a, -1), 0L) + x))""").alias(ends)))
+    if 8 * parts * shards <= BROADCAST_BYTES:
+        matrix = F.broadcast(matrix)
+    cells = max(1, -(-total // (shards * cell_rows)), -(-stage_bytes(df.sparkSession, path) // (shards * cell_bytes)))
+    sent = (staged.join(matrix, F.col(part) == F.col(where))
+            .withColumn("shard", F.expr(_find(f"`{ends}`", f"`{rank}`"))).drop(where, ends)
+            .withColumn(cell, F.least(F.lit(cells - 1), F.floor(F.col(again) * cells).cast("int"))))
+    firsts = (sent.groupBy(F.col("shard").alias(at_shard), F.col(cell).alias(at_cell)).agg(F.count(F.lit(1)).alias(rows))
+              .withColumn(first, F.expr(f"sum(`{rows}`) OVER (PARTITION BY `{at_shard}` ORDER BY `{at_cell}`) - `{rows}`"))
+              .drop(rows))
+    order = f"row_number() OVER (PARTITION BY shard, `{cell}` ORDER BY `{again}`, `{part}`, `{rank}`)"
+    return (sent.withColumn("slot", F.expr(order))
+            .join(firsts, (F.col("shard") == F.col(at_shard)) & (F.col(cell) == F.col(at_cell)))
+            .withColumn("slot", F.col("slot") - 1 + F.col(first))
             .select(*[F.col(f"`{c}`") for c in df.columns], "shard", "slot"))
 
 

@@ -1,6 +1,8 @@
 """Scans, quality, fingerprints, sharding, joins and the pipeline against brute force."""
 import collections
+import contextlib
 import hashlib
+import io
 import random
 import re
 import zlib
@@ -288,6 +290,43 @@ def test_whole_documents_go_into_the_shards(spark):
     assert {(r.shard, r.slot): (r.doc_id, r.size, r.text_crc32) for r in out.collect()} == at
 
 
+def test_matrix_has_its_margins(spark):
+    sizes = [0, 7, 90, 1, 300, 42, 42]
+    counts = {3: 200, 4: 1, 9: 81, 11: 150, 12: 50}
+    rows = sharding.communication_matrix(spark.createDataFrame(list(counts.items()), "part long, rows long"), sizes, 3)
+    cells = {r.part: r.cells for r in rows.collect()}
+    assert {p: sum(c) for p, c in cells.items()} == counts
+    assert [sum(x) for x in zip(*cells.values())] == sizes
+
+
+def test_permutation_is_uniform(spark):
+    n, blocks = 20_000, 20
+    rows = spark.range(n).repartition(7).selectExpr("id AS doc_id")
+    out = sharding.shuffle_to_shards(rows, 8, seed=5, cell_rows=300)
+    got = collections.Counter((r.doc_id * blocks // n, (r.shard * n // 8 + r.slot) * blocks // n) for r in out.collect())
+    expected = n / blocks ** 2  # chi square with 19 * 19 degrees of freedom: 361, deviation 27
+    assert abs(sum((got[a, b] - expected) ** 2 / expected for a in range(blocks) for b in range(blocks)) - 361) < 5 * 27
+    order = [r.doc_id for r in sorted(out.collect(), key=lambda r: (r.shard, r.slot))]
+    rising = sum(a < b for a, b in zip(order, order[1:]))
+    assert abs(rising - n / 2) < 5 * (n / 12) ** .5
+
+
+def test_shards_exchange_whole_rows_once(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = frame(spark, [(k % 50, "text " * (k % 9)) for k in range(500)] + [(None, None)])
+        out = sharding.shuffle_to_shards(rows, 4, cell_rows=20, max_parts=2)
+        shown = io.StringIO()
+        with contextlib.redirect_stdout(shown):
+            out.explain("formatted")
+        assert len(out.collect()) == 501
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = re.findall(r"\) Exchange\s*\nInput \[\d+\]: \[(.*)\]", shown.getvalue())
+    assert len(exchanges) > 1 and sum("text#" in x for x in exchanges) == 1
+
+
 def test_hypergeometric_draws_follow_the_exact_law(spark):
     n, k, m, draws = 20, 8, 7, 20_000
     got = collections.Counter(r[0] for r in spark.range(draws).selectExpr(
