@@ -51,6 +51,9 @@ TOKEN_BITS = 48
 HOT_SHARE = 100_000
 HOT_IN_RUN = 8
 HOT_COUNT = 2 ** 31 - 1
+#: Tokens of a bucket that are counted at once, and bytes of replies sent at once.
+SETTLE_TOKENS = 4_000_000
+REPLY_BYTES = 1 << 20
 
 PACKED = "kind int, bucket int, base long, idx int, doc_id long, n long, sig binary, tokens binary, docs binary, key string"
 REPLY = "base long, idx int, n long, tokens binary, docs binary, counts binary"
@@ -192,38 +195,53 @@ def _count(packed: DataFrame, bits: int, hot: np.ndarray) -> DataFrame:
                 "counts": counts.astype("<u4").tobytes()}
 
     def settle(bucket, held):
-        """Replies to the runs that sent tokens to one bucket."""
-        parts = [_widen(data, width) for _, data, _ in held]
-        tokens = np.concatenate(parts)
-        found, place, times = np.unique(tokens, return_inverse=True, return_counts=True)
-        counts, at = times[place], 0
-        for (base, _, docs), part in zip(held, parts):
-            mine = counts[at:at + len(part)]
-            at += len(part)
-            keep = mine >= 2
-            if keep.any():
-                owner = np.cumsum(np.frombuffer(docs, "<u2").astype(np.int64))
-                yield reply(base, part[keep] | np.uint64(bucket << low), owner[keep], mine[keep])
-
-    def run(batches):
+        """Replies to the runs that sent tokens to one bucket, one range of tokens
+        after another: only the packed tokens are held whole."""
+        ranges = -(-sum(len(data) for _, data, _ in held) // (width * SETTLE_TOKENS))
+        step = np.uint64(-(-(1 << low) // ranges))
+        for k in range(ranges):
+            parts = []
+            for _, data, _ in held:
+                part = _widen(data, width)
+                own = part // step == k if ranges > 1 else slice(None)
+                parts.append((part[own], own))
+            found, place, times = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True, return_counts=True)
+            counts, at = times[place], 0
+            for (base, _, docs), (part, own) in zip(held, parts):
+                mine = counts[at:at + len(part)]
+                at += len(part)
+                keep = mine >= 2
+                if keep.any():
+                    owner = np.cumsum(np.frombuffer(docs, "<u2").astype(np.int64))[own]
+                    yield reply(base, part[keep] | np.uint64(bucket << low), owner[keep], mine[keep])
+
+    def replies(batches):
         current, held = None, []
         for batch in _cuts(batches):
-            out = []
             for bucket, base, data, docs in zip(*(c.to_pylist() for c in batch.columns)):
                 if bucket < 0:
                     tokens = _widen(data, width) | np.uint64(~bucket << low)
                     owner = np.cumsum(np.frombuffer(docs, "<u2").astype(np.int64))
-                    out.append(reply(base, tokens, owner, np.full(len(tokens), HOT_COUNT)))
+                    yield reply(base, tokens, owner, np.full(len(tokens), HOT_COUNT))
                     continue
                 if bucket != current and held:
-                    out += settle(current, held)
+                    yield from settle(current, held)
                     held = []
                 current = bucket
                 held.append((base, data, docs))
-            if out:
-                yield _rows(REPLY, out)
         if held:
-            yield _rows(REPLY, list(settle(current, held)))
+            yield from settle(current, held)
+
+    def run(batches):
+        out, size = [], 0
+        for row in replies(batches):
+            out.append(row)
+            size += len(row["tokens"])
+            if size >= REPLY_BYTES:
+                yield _rows(REPLY, out)
+                out, size = [], 0
+        if out:
+            yield _rows(REPLY, out)
 
     tokens = packed.filter(F.col("kind") == TOKENS).select("bucket", "base", "tokens", "docs")
     if len(hot):

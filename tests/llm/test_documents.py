@@ -379,8 +379,9 @@ def near_copies(n, seed):
 def test_join_against_brute_force(spark, monkeypatch):
     rows = near_copies(500, 1)
     expected, groups = linked(rows)
-    for tokens, share in ((10 ** 6, 10 ** 5), (2000, 20)):
+    for tokens, share, at_once in ((10 ** 6, 10 ** 5, 10 ** 6), (2000, 20, 10 ** 6), (10 ** 6, 10 ** 5, 7)):
         monkeypatch.setattr(ngram_join, "RUN_TOKENS", tokens)
+        monkeypatch.setattr(ngram_join, "SETTLE_TOKENS", at_once)
         monkeypatch.setattr(ngram_join, "HOT_SHARE", share)
         out = ngram_join.link_documents(frame(spark, rows)).collect()
         assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected
