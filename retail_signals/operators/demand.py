@@ -50,10 +50,10 @@ def attach_calendar(long_sales: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def prices_by_series(prices: DataFrame) -> DataFrame:
-    """One row per series: its weeks and, in step, their prices; ``_repeated``
+    """One row per series: its weeks in order and, in step, their prices; ``_repeated``
     where a week occurs more than once. Bounded by the weeks of a series (when
     price weeks are unique, which ``check_keys`` proves)."""
-    listed = F.collect_list(F.struct(F.col("wm_yr_wk").alias("week"), F.col("sell_price").alias("price")))
+    listed = F.sort_array(F.collect_list(F.struct(F.col("wm_yr_wk").alias("week"), F.col("sell_price").alias("price"))))
     rows = prices.filter(F.col("wm_yr_wk").isNotNull()).groupBy(*SERIES_KEYS).agg(listed.alias("_listed"))
     weeks = F.col("_listed.week")
     return rows.select(*SERIES_KEYS, weeks.alias("_weeks"), F.col("_listed.price").alias("_prices"),
@@ -66,14 +66,16 @@ def attach_prices(dated: DataFrame, prices: DataFrame) -> DataFrame:
     Prices are joined as one row per series, on the series alone, and read by
     their week's place in it. So the join needs the partitioning by series that
     the window and the stock fold need as well: sales are exchanged once. A row
-    whose week has several prices comes out once for each.
+    whose week has several prices comes out once for each: they stand side by
+    side in the list. No lambda is used, so join, look-up and explode are compiled
+    into one stage and the lists are read in place, not copied to each row.
     """
     joined = dated.join(prices_by_series(prices), on=list(SERIES_KEYS), how="left")
-    at = F.array_position("_weeks", F.col("wm_yr_wk"))
-    one = F.when(at > 0, F.element_at("_prices", at.cast("int")))
-    weeks_prices = F.arrays_zip(F.col("_weeks").alias("week"), F.col("_prices").alias("price"))
-    several = F.transform(F.filter(weeks_prices, lambda x: x["week"] == F.col("wm_yr_wk")), lambda x: x["price"])
-    found = F.when(F.col("_repeated") & (at > 0), several).otherwise(F.array(one))
+    week = F.col("wm_yr_wk")
+    at = F.array_position("_weeks", week).cast("int")
+    times = F.size("_weeks") - F.size(F.array_remove("_weeks", week))
+    found = (F.when(F.col("_repeated") & (at > 0), F.slice("_prices", at, times))
+             .otherwise(F.array(F.get("_prices", at - 1))))
     return joined.select(*dated.columns, F.explode(found).alias("price"))
 
 

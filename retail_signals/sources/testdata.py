@@ -137,11 +137,13 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     for every day of the span; a day without sales is null.
 
     The day list is the span of ship dates (two numbers fetched with one
-    aggregate); the pivot itself is a Spark aggregate with one column per day.
+    aggregate); the pivot itself is a Spark aggregate with one column per day. The
+    narrow rows are exchanged by series first, so that the pivot's partial rows, as
+    wide as the span, are not.
     """
     k0, k1 = day_span(spark, sf_dir)
     labels = [f"d_{k + 1}" for k in range(k0, k1 + 1)]
-    sales = long_sales(spark, sf_dir)
+    sales = long_sales(spark, sf_dir).repartition("store_id", "item_id")
     wide = (sales.groupBy("item_id", "dept_id", "cat_id", "store_id", "state_id")
             .pivot("d", labels).agg(F.first("units_sold")))
     return wide.select(F.concat_ws("_", "item_id", "store_id").alias("id"), *wide.columns)
