@@ -3,8 +3,8 @@
 Two documents link when the Jaccard similarity of their sets of 5-word shingles
 is at least ``PERCENT`` / 100. Shingles are 64-bit hashes; equal sets are one class.
 
-1. ``_pack``: every whole text becomes its set; runs of 4096 documents send the
-   upper 48 bits of their hashes, packed, to the buckets of the hash range.
+1. ``_pack``: every whole text becomes its set; runs of 4096 documents (more, where
+   there are over 65,536 buckets) send the upper 48 bits of their hashes, packed, to the buckets of the hash range.
 2. ``_count``: each bucket finds the shingles that more than one document holds,
    and how many, and replies to the runs. Shingles that hold over a 100,000th of
    all (at most 100,000, so a bounded list) are known from sums by run and skip
@@ -19,7 +19,8 @@ is at least ``PERCENT`` / 100. Shingles are 64-bit hashes; equal sets are one cl
    Lists aren't expanded at once: first each class meets the least class it
    shares a list with, then, in lists that still hold several components, every
    member meets a few that a hash chooses, and last, members outside the list's
-   largest component meet all of other ones. Parity maps of the sets rule most
+   largest component meet all of other ones (in parts of bounded size, each with a
+   copy of the list, so that no list is one task's). Parity maps of the sets rule most
    pairs without a link out. Links within a component need no proof.
 
 Every class pair that could link across components is verified, so components
@@ -47,6 +48,9 @@ from .components import components
 PERCENT = 80
 RUN = 4096
 RUN_TOKENS = 500_000
+#: Bits of a bucket's number: up to RUN_BITS runs have the size above, beyond it they
+#: grow with the buckets, so that a run still sends several tokens to each.
+RUN_BITS, MAX_BITS = 16, 20
 TOKEN_BITS = 48
 HOT_SHARE = 100_000
 HOT_IN_RUN = 8
@@ -63,6 +67,8 @@ CLASS = "uid long, n long, unshared long, tokens binary, prefix array<long>, bit
 MAP_WORDS = 8
 #: Members of a list that all others meet in the second round.
 CHOSEN = 8
+#: Members outside a list's largest component that one key of the third round holds.
+PART = 1024
 DOC, TOKENS, HOT = 0, 1, 2
 
 
@@ -96,7 +102,13 @@ def _bucket_bits(df: DataFrame) -> int:
     """Four buckets or more for each shuffle partition, so that what meets in
     one bucket shrinks as partitions are added."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(16, max(8, (4 * parts - 1).bit_length()))
+    return min(MAX_BITS, max(8, (4 * parts - 1).bit_length()))
+
+
+def _run_size(bits: int) -> tuple[int, int]:
+    """Most documents (numbered with 16 bits) and tokens of a run, but for its last document."""
+    grow = 1 << max(0, bits - RUN_BITS)
+    return min(RUN * grow, 1 << 16), RUN_TOKENS * grow
 
 
 def row_key(doc_id, text: str) -> str:
@@ -109,6 +121,7 @@ def _pack(df: DataFrame, bits: int) -> DataFrame:
     bucket, and of tokens that are frequent in a run."""
     low = TOKEN_BITS - bits
     width = -(-low // 8)
+    most_docs, most_tokens = _run_size(bits)
 
     def flush(base, docs, sets):
         rows = [{"kind": DOC, "base": base, "idx": i, "doc_id": d, "key": k, "n": len(s),
@@ -116,7 +129,7 @@ def _pack(df: DataFrame, bits: int) -> DataFrame:
         tokens = np.concatenate(sets) >> np.uint64(64 - TOKEN_BITS)
         owner = np.repeat(np.arange(len(sets), dtype=np.int64), [len(s) for s in sets])
         bucket = (tokens >> np.uint64(low)).astype(np.int64)
-        order = np.argsort(bucket * RUN + owner, kind="stable")
+        order = np.argsort(bucket << 16 | owner, kind="stable")
         tokens, owner, bucket = tokens[order], owner[order], bucket[order]
         edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=1 << bits))
         payload = tokens & np.uint64((1 << low) - 1)
@@ -140,7 +153,7 @@ def _pack(df: DataFrame, bits: int) -> DataFrame:
                 docs.append((doc, row_key(doc, text)))
                 sets.append(shingle_hashes(byte_words(text)))
                 held += len(sets[-1])
-                if len(docs) == RUN or held >= RUN_TOKENS:
+                if len(docs) == most_docs or held >= most_tokens:
                     yield flush((part << 24) + runs, docs, sets)
                     docs, sets, held, runs = [], [], 0, runs + 1
         if docs:
@@ -265,10 +278,10 @@ def _prefixes(replies: DataFrame, classes: DataFrame) -> DataFrame:
     def settle(sizes, tokens, owner, counts):
         order = np.lexsort((tokens, owner))
         tokens, owner, counts = tokens[order], owner[order], counts[order]
-        starts = np.searchsorted(owner, np.arange(RUN + 1))
+        at = np.array([idx for _, idx, _ in sizes], np.int64)
+        starts, ends = np.searchsorted(owner, at).tolist(), np.searchsorted(owner, at, "right").tolist()
         rows = []
-        for base, idx, n in sizes:
-            a, b = int(starts[idx]), int(starts[idx + 1])
+        for (base, idx, n), a, b in zip(sizes, starts, ends):
             shared = b - a
             if not shared or shared < _needed(n):
                 continue
@@ -367,14 +380,16 @@ def _merge(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def _mixed(lists: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, str]:
     """The lists that hold several components: members ``m``, a size class (partners
-    are at most one apart) and whether they stand outside the list's largest one."""
+    are at most one apart), whether they stand outside the list's largest one, and
+    in how many parts those outside are dealt."""
     marked = lists.join(labels, "uid", "left").withColumn("comp", F.coalesce("comp", "uid"))
     largest = (marked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-               .groupBy("token").agg(F.max_by("comp", "k").alias("top"), F.count(F.lit(1)).alias("comps"))
-               .filter("comps > 1").select("token", "top"))
+               .groupBy("token").agg(F.max_by("comp", "k").alias("top"), F.count(F.lit(1)).alias("comps"),
+                                     (F.sum("k") - F.max("k")).alias("outside"))
+               .filter("comps > 1").select("token", "top", F.ceil(F.col("outside") / PART).alias("parts")))
     size = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / PERCENT))).cast("int")
     return stage(marked.join(largest, "token").join(sets.select("uid", "unshared", "bits"), "uid")
-                 .select("token", size.alias("size"), (F.col("comp") != F.col("top")).alias("minor"),
+                 .select("token", size.alias("size"), (F.col("comp") != F.col("top")).alias("minor"), "parts",
                          F.struct("uid", "n", "pos", "comp", "unshared", "bits").alias("m")))
 
 
@@ -412,9 +427,11 @@ def _link(sets: DataFrame) -> DataFrame:
     # 3: whatever may still link across components
     mixed, mixed_path = _mixed(lists, labels, sets)
     outside = (mixed.filter("minor")
-               .select("token", F.col("m").alias("a"), F.explode(F.array(*(F.col("size") + d for d in (-1, 0, 1)))).alias("size")))
-    others = mixed.select("token", "size", "minor", F.col("m").alias("b"))
-    rest, rest_path = stage(_pairs(outside.join(others, ["token", "size"]).filter("NOT minor OR a.uid < b.uid")))
+               .select("token", F.col("m").alias("a"), F.pmod(F.xxhash64("m.uid"), F.col("parts")).alias("part"),
+                       F.explode(F.array(*(F.col("size") + d for d in (-1, 0, 1)))).alias("size")))
+    others = mixed.select("token", "size", "minor", F.col("m").alias("b"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    rest, rest_path = stage(_pairs(outside.join(others, ["token", "size", "part"]).filter("NOT minor OR a.uid < b.uid")))
     labels, _ = stage(_merge(labels, _verify(rest, sets)))
     drop_stage(spark, lists_path, mixed_path, rest_path, second_path)
     return labels

@@ -388,6 +388,21 @@ def test_join_against_brute_force(spark, monkeypatch):
         assert sum(r.keep for r in out) == groups
 
 
+def test_join_with_many_buckets_and_dealt_lists(spark, monkeypatch):
+    """Over 65,536 buckets runs grow with them; lists in parts of one or two
+    members give the same pairs as whole ones."""
+    assert ngram_join._run_size(16) == (4096, 500_000) and ngram_join._run_size(20) == (65_536, 8_000_000)
+    rows = near_copies(400, 5)
+    expected, groups = linked(rows)
+    for bits, part in ((20, 1), (17, 2)):
+        monkeypatch.setattr(ngram_join, "_bucket_bits", lambda df: bits)
+        monkeypatch.setattr(ngram_join, "PART", part)
+        monkeypatch.setattr(ngram_join, "CHOSEN", 1)
+        out = ngram_join.link_documents(frame(spark, rows)).collect()
+        assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == expected
+        assert sum(r.keep for r in out) == groups
+
+
 def test_join_of_an_empty_table(spark):
     assert ngram_join.deduplicate(frame(spark, []).limit(0)).count() == 0
 
