@@ -11,6 +11,8 @@ from ..vocabulary import ERR_NO_DAY_COLUMNS
 DAY_PREFIX = "d_"
 ID_COLUMNS = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
 SERIES_KEYS = ("store_id", "item_id")
+# Columns of ``prices_by_series`` beside its keys.
+PRICE_LISTS = ("_weeks", "_prices", "_repeated")
 # Columns and order of the demand table.
 DEMAND_COLUMNS = ("date", "d", "store_id", "state_id", "item_id", "dept_id", "cat_id",
                   "units_sold", "price", "event_name_1", "event_type_1", "is_promo")
@@ -32,10 +34,23 @@ def unpivot_days(sales: DataFrame, lenient: bool = False) -> DataFrame:
     reshape plans as one Generate, a narrow per-row operator, so it scales with
     the input and never shuffles.
     """
-    days = day_columns(sales)
+    return explode_cells(day_cells(sales, lenient), day_columns(sales))
+
+
+def day_cells(sales: DataFrame, lenient: bool = False) -> DataFrame:
+    """The ids and, in table order, the day columns as one array ``_cells``: what
+    follows has few columns and is compiled, which ``stack`` over thousands is not."""
     cast = "TRY_CAST" if lenient else "CAST"
-    pairs = ", ".join(f"'{c}', {cast}(`{c}` AS DOUBLE)" for c in days)
-    return sales.selectExpr(*ID_COLUMNS, f"stack({len(days)}, {pairs}) AS (d, units_sold)")
+    cells = ", ".join(f"{cast}(`{c}` AS DOUBLE)" for c in day_columns(sales))
+    return sales.selectExpr(*ID_COLUMNS, f"array({cells}) AS _cells")
+
+
+def explode_cells(rows: DataFrame, days: list[str]) -> DataFrame:
+    """One row per cell of ``_cells``, named by ``days``; other columns are kept.
+    (The arrays are never empty; the outer form needs no filter for that.)"""
+    kept = [c for c in rows.columns if c not in (*ID_COLUMNS, "_cells")]
+    placed = rows.select(*ID_COLUMNS, *kept, F.posexplode_outer("_cells").alias("_place", "units_sold"))
+    return placed.select(*ID_COLUMNS, F.get(F.lit(days), F.col("_place")).alias("d"), "units_sold", *kept)
 
 
 def attach_calendar(long_sales: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -70,24 +85,37 @@ def attach_prices(dated: DataFrame, prices: DataFrame) -> DataFrame:
     side in the list. No lambda is used, so join, look-up and explode are compiled
     into one stage and the lists are read in place, not copied to each row.
     """
-    joined = dated.join(prices_by_series(prices), on=list(SERIES_KEYS), how="left")
+    return look_up_prices(with_price_lists(dated, prices))
+
+
+def with_price_lists(rows: DataFrame, prices: DataFrame) -> DataFrame:
+    """Left join of the series' price lists. They are hashed by task (one row for
+    each series), so the rows need no sort."""
+    return rows.join(prices_by_series(prices).hint("shuffle_hash"), on=list(SERIES_KEYS), how="left")
+
+
+def look_up_prices(listed: DataFrame) -> DataFrame:
+    """``price`` of each row's week, from the lists beside it."""
     week = F.col("wm_yr_wk")
     at = F.array_position("_weeks", week).cast("int")
     times = F.size("_weeks") - F.size(F.array_remove("_weeks", week))
     found = (F.when(F.col("_repeated") & (at > 0), F.slice("_prices", at, times))
              .otherwise(F.array(F.get("_prices", at - 1))))
-    return joined.select(*dated.columns, F.explode(found).alias("price"))
+    # never empty: the outer form spares the filter that Spark infers, a second look-up
+    return listed.select(*(c for c in listed.columns if c not in PRICE_LISTS), F.explode_outer(found).alias("price"))
 
 
 def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                   lenient: bool = False, watch: DemandWatch | None = None) -> DataFrame:
     """Attach date, week and events by ``d`` and the weekly price by
     (store, item, week); both joins are left outer. ``watch`` takes figures of
-    the rows on their way, without a pass of its own."""
+    the rows on their way, without a pass of its own. Sales that carry their
+    price lists already (``with_price_lists``) are not joined again."""
     to_date = F.try_to_date if lenient else F.to_date
     watch = watch or DemandWatch.off()
     dated = watch.dated(attach_calendar(watch.sales(long_sales), calendar))
-    joined = watch.priced(attach_prices(dated, prices))
+    listed = set(PRICE_LISTS) <= set(dated.columns)
+    joined = watch.priced(look_up_prices(dated) if listed else attach_prices(dated, prices))
     date = F.col("date") if dict(calendar.dtypes)["date"] == "date" else to_date(F.col("date"))
     units = F.col("units_sold").cast("double")
     price_col = F.col("price").cast("double")
@@ -101,5 +129,8 @@ def enrich_demand(long_sales: DataFrame, calendar: DataFrame, prices: DataFrame,
 
 def build_demand(sales: DataFrame, calendar: DataFrame, prices: DataFrame,
                  lenient: bool = False, watch: DemandWatch | None = None) -> DataFrame:
-    """Wide sales + calendar + prices -> the 12-column demand table."""
-    return enrich_demand(unpivot_days(sales, lenient), calendar, prices, lenient, watch)
+    """Wide sales + calendar + prices -> the 12-column demand table. The price lists
+    are joined to the wide rows, so one row for each series is exchanged, not one
+    for each series and day."""
+    listed = with_price_lists(day_cells(sales, lenient), prices)
+    return enrich_demand(explode_cells(listed, day_columns(sales)), calendar, prices, lenient, watch)

@@ -33,6 +33,13 @@ def _file_system(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system and from its root (a table's location would
+    else be looked for in the warehouse)."""
+    where, system = _file_system(spark, path)
+    return system.makeQualified(where).toString()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the file system that its path names."""
     where, system = _file_system(spark, path)

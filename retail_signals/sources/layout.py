@@ -5,17 +5,19 @@ catalog. So the layout (buckets, sort columns, schema) lies beside the files in
 ``_layout.json``, and reading registers an external table over them in the
 session's catalog. Windows, folds and joins by series over such tables need no
 exchange. One bucket is one file, so ``buckets`` has to follow the data (128 to
-256 MB a bucket).
+256 MB a bucket). ``materialize_by_series`` stores an intermediate table so, in as
+many buckets as the session has shuffle partitions.
 """
 from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.demand import SERIES_KEYS
-from ..session import read_text, replace_text
+from ..session import checkpoint_dir, qualified, read_text, replace_text
 
 LAYOUT = "_layout.json"
 
@@ -24,13 +26,20 @@ def _name(path: str) -> str:
     return "by_series_" + hashlib.sha256(path.encode()).hexdigest()[:24]
 
 
-def write_by_series(df: DataFrame, path: str, buckets: int, sort_by: tuple[str, ...] = ("date",)) -> str:
-    """Write ``df`` with one file for each bucket of series, sorted by series and ``sort_by``."""
-    spark, name = df.sparkSession, _name(path)
+def write_by_series(df: DataFrame, path: str, buckets: int, sort_by: tuple[str, ...] | None = ("date",),
+                    dealt: bool = False) -> str:
+    """Write ``df`` with one file for each bucket of series, sorted by series and
+    ``sort_by`` (None: each file in the order of its rows). ``dealt``: ``df`` lies by
+    series already, as windows, joins and folds by series leave it, so its rows stay
+    where they are; elsewhere every task would write a file into every bucket."""
+    spark, path = df.sparkSession, qualified(df.sparkSession, path)
+    name = _name(path)
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    order = (*SERIES_KEYS, *(c for c in sort_by if c in df.columns))
-    (df.repartition(buckets, *SERIES_KEYS).write.mode("overwrite").option("path", path)
-     .bucketBy(buckets, *SERIES_KEYS).sortBy(*order).saveAsTable(name))
+    order = () if sort_by is None else (*SERIES_KEYS, *(c for c in sort_by if c in df.columns))
+    rows = df if dealt else df.repartition(buckets, *SERIES_KEYS)
+    writer = (rows.write.mode("overwrite").option("path", path).option("compression", "zstd")
+              .bucketBy(buckets, *SERIES_KEYS))
+    (writer.sortBy(*order) if order else writer).saveAsTable(name)
     columns = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
     replace_text(spark, f"{path}/{LAYOUT}", json.dumps({"buckets": buckets, "sort": order, "columns": columns}))
     return path
@@ -38,6 +47,7 @@ def write_by_series(df: DataFrame, path: str, buckets: int, sort_by: tuple[str,
 
 def read_by_series(spark: SparkSession, path: str) -> DataFrame:
     """A table of :func:`write_by_series`, from any session."""
+    path = qualified(spark, path)
     text = read_text(spark, f"{path}/{LAYOUT}")
     if text is None:
         raise ValueError(f"{path}: not stored by series ({LAYOUT} is missing)")
@@ -45,6 +55,15 @@ def read_by_series(spark: SparkSession, path: str) -> DataFrame:
     columns = ", ".join(f"`{c}` {t}" for c, t in layout["columns"])
     place = path.replace("'", "\\'")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+    order = f"SORTED BY ({', '.join(layout['sort'])}) " if layout["sort"] else ""
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({', '.join(SERIES_KEYS)}) "
-              f"SORTED BY ({', '.join(layout['sort'])}) INTO {layout['buckets']} BUCKETS LOCATION '{place}'")
+              f"{order}INTO {layout['buckets']} BUCKETS LOCATION '{place}'")
     return spark.table(name)
+
+
+def materialize_by_series(df: DataFrame, sort_by: tuple[str, ...] | None = None, dealt: bool = True) -> DataFrame:
+    """As ``materialize``, stored by series: what reads it by series needs no exchange."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/retail_signals/{uuid.uuid4().hex}"
+    return read_by_series(spark, write_by_series(
+        df, path, int(spark.conf.get("spark.sql.shuffle.partitions")), sort_by, dealt))

@@ -14,10 +14,17 @@ Everything is a Spark job over the whole tables, so the inputs grow with them.
 """
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import materialize
+from . import wide_kernel
+from .layout import materialize_by_series
+from .wide_kernel import spread_days
+
+# Workers receive the kernel by value: no package install needed on executors.
+cloudpickle.register_pickle_by_value(wide_kernel)
 
 # Origin of the day numbering, the week length, and the event rule.
 EPOCH = "1995-01-01"
@@ -113,14 +120,21 @@ def prices(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) ->
             .where(F.col("sell_price").isNotNull()))
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def stored_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily aggregate, written once by series into the checkpoint folder:
+    prices, their join, the window and the pivot read it without an exchange."""
+    return materialize_by_series(daily_facts(spark, sf_dir), sort_by=("k",), dealt=False)
+
+
+def inputs(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None
+           ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(long sales, calendar, prices) from one shared daily aggregate.
 
     Sales and prices need different aggregates of the same daily rows, so
     column pruning would give each its own line scan and part join (the most
     expensive stage at scale). The daily aggregate is therefore written once
-    into the checkpoint folder and both read it."""
-    daily = materialize(daily_facts(spark, sf_dir))
+    and both read it."""
+    daily = stored_daily(spark, sf_dir) if daily is None else daily
     return long_sales(spark, sf_dir, daily), calendar(spark, sf_dir), prices(spark, sf_dir, daily)
 
 
@@ -132,18 +146,24 @@ def day_span(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return int(row["k0"]), int(row["k1"])
 
 
-def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_sales(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     """Wide sales, one row per series: ids, then one column per day ``d_<k+1>``
     for every day of the span; a day without sales is null.
 
     The day list is the span of ship dates (two numbers fetched with one
-    aggregate); the pivot itself is a Spark aggregate with one column per day. The
-    narrow rows are exchanged by series first, so that the pivot's partial rows, as
-    wide as the span, are not.
+    aggregate). Each series' days are collected into a list by a Spark aggregate,
+    without an exchange over the facts stored by series, and a kernel spreads the
+    lists over the columns in small blocks. So a task holds no more wide rows than a
+    block, however many series it has; a pivot held all of them.
     """
     k0, k1 = day_span(spark, sf_dir)
     labels = [f"d_{k + 1}" for k in range(k0, k1 + 1)]
-    sales = long_sales(spark, sf_dir).repartition("store_id", "item_id")
-    wide = (sales.groupBy("item_id", "dept_id", "cat_id", "store_id", "state_id")
-            .pivot("d", labels).agg(F.first("units_sold")))
-    return wide.select(F.concat_ws("_", "item_id", "store_id").alias("id"), *wide.columns)
+    daily = stored_daily(spark, sf_dir) if daily is None else daily
+    ids = ("item_id", "dept_id", "cat_id", "store_id", "state_id")
+    listed = (daily.withColumn("dept_id", F.col("item_id")).withColumn("cat_id", F.lit(CATEGORY)).groupBy(*ids)
+              .agg(F.collect_list(F.struct(F.col("k").cast("int").alias("k"),
+                                           F.col("units_sold").cast("double").alias("units"))).alias("cells"))
+              .select(F.concat_ws("_", "item_id", "store_id").alias("id"), *ids, "cells"))
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in ("id", *ids)),
+                           *(T.StructField(c, T.DoubleType()) for c in labels)])
+    return listed.mapInArrow(lambda batches: spread_days(batches, k0, labels), schema)
