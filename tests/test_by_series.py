@@ -1,5 +1,7 @@
 """Work by series: what needs an exchange or a wide frame, and what does not."""
 import math
+import os
+import re
 from datetime import date, timedelta
 
 import pyarrow as pa
@@ -10,8 +12,12 @@ from retail_signals.operators.demand import build_demand, enrich_demand, unpivot
 from retail_signals.operators.recommend import recommend
 from retail_signals.operators.rules import ANOMALY_COLUMNS
 from retail_signals.plans.jobs import ledger_from_demand
+from retail_signals.plans.jobs import run_diagnosis, run_pipeline
+from retail_signals.sources import testdata
+from retail_signals.sources.files import read_table
 from retail_signals.sources.layout import materialize_by_series, read_by_series, write_by_series
 from retail_signals.sources.wide_kernel import BLOCK_ROWS, spread_days
+from test_jobs import _write_inputs
 
 
 def _exchanges(df) -> int:
@@ -126,3 +132,30 @@ def test_rows_by_series_are_written_where_they_are(spark, tmp_path):
     back = read_by_series(spark, path)
     assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
     assert _exchanges(back.groupBy("store_id", "item_id").agg(F.count("*"))) == 0
+
+
+def test_texts_of_a_rule_and_series_stand_together(spark):
+    anomalies, inventory = _stored(spark)
+    texts = diagnose.diagnose_all(anomalies, inventory, None, partitioned_by_series=True)
+    rows = texts.select(F.spark_partition_id().alias("task"), "rule_name", "store_id", "item_id", "date").collect()
+    for task in {r["task"] for r in rows}:
+        mine = [tuple(r)[1:] for r in rows if r["task"] == task]
+        assert mine == sorted(mine)
+
+
+def test_lines_are_exchanged_once_by_series(spark, tmp_path):
+    """Several lines of a day, a returned line, a part with no line, a supplier listed twice."""
+    lines = [(1, 1, 2.0, 10.0, "N", date(1995, 1, 3)), (1, 1, 3.0, 30.0, "N", date(1995, 1, 3)),
+             (2, 1, 1.0, 99.0, "R", date(1995, 1, 4)), (2, 2, None, 5.0, "N", date(1995, 1, 4)),
+             (9, 1, 1.0, 1.0, "N", date(1995, 1, 3)), (1, None, 1.0, 1.0, "N", date(1995, 1, 3))]
+    for name, rows, schema in (
+            ("lineitem", lines, "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                                "l_returnflag string, l_shipdate date"),
+            ("part", [(1, "A"), (2, "B"), (3, "C")], "p_partkey long, p_type string"),
+            ("supplier", [(1, 7), (2, 8), (2, 8)], "s_suppkey long, s_nationkey int")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    daily = testdata.daily_facts(spark, str(tmp_path))
+    again = daily.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "store_id", "item_id")
+    assert _exchanges(daily) == 1 and _exchanges(again) == 1
+    want = [("1", "A", "7", 2, 5.0, 10.0), ("1", "B", "7", 3, 1.0, None)] + [("2", "B", "8", 3, None, None)] * 2
+    assert sorted((tuple(r) for r in daily.collect()), key=str) == sorted(want, key=str)
