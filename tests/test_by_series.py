@@ -143,6 +143,15 @@ def test_texts_of_a_rule_and_series_stand_together(spark):
         assert mine == sorted(mine)
 
 
+def test_lines_stored_by_series_are_attached_without_an_exchange(spark):
+    anomalies, inventory = _stored(spark)
+    recs = materialize_by_series(recommend(anomalies, inventory, partitioned_by_series=True))
+    texts = diagnose.diagnose_all(anomalies, inventory, recs, partitioned_by_series=True)
+    assert _exchanges(texts) == 0
+    plain = diagnose.diagnose_all(anomalies, inventory, spark.createDataFrame(recs.collect(), recs.schema))
+    assert sorted(texts.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
 def test_lines_are_exchanged_once_by_series(spark, tmp_path):
     """Several lines of a day, a returned line, a part with no line, a supplier listed twice."""
     lines = [(1, 1, 2.0, 10.0, "N", date(1995, 1, 3)), (1, 1, 3.0, 30.0, "N", date(1995, 1, 3)),
