@@ -152,6 +152,19 @@ def test_lines_stored_by_series_are_attached_without_an_exchange(spark):
     assert sorted(texts.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+def test_tables_by_series_are_copied_bucket_by_bucket(spark, tmp_path):
+    """A task that writes by series sorts its rows by bucket: it should hold one bucket."""
+    rows = spark.range(200).select(F.col("id").cast("string").alias("store_id"), F.lit("a").alias("item_id"), "id")
+    first = read_by_series(spark, write_by_series(rows, f"{tmp_path}/first", 20, None))
+    name = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    before = spark.conf.get(name)
+    path = write_by_series(first.select("store_id", "item_id"), f"{tmp_path}/second", 20, None, dealt=True)
+    files = [f for f in os.listdir(path.removeprefix("file:")) if f.endswith(".parquet")]
+    tasks = {re.match(r"part-(\d+)", f)[1] for f in files}
+    assert len(files) > 1 and len(tasks) == len(files)
+    assert spark.conf.get(name) == before
+
+
 def test_lines_are_exchanged_once_by_series(spark, tmp_path):
     """Several lines of a day, a returned line, a part with no line, a supplier listed twice."""
     lines = [(1, 1, 2.0, 10.0, "N", date(1995, 1, 3)), (1, 1, 3.0, 30.0, "N", date(1995, 1, 3)),
