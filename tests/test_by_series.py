@@ -152,6 +152,23 @@ def test_lines_stored_by_series_are_attached_without_an_exchange(spark):
     assert sorted(texts.collect(), key=str) == sorted(plain.collect(), key=str)
 
 
+def test_a_run_is_diagnosed_without_an_exchange(spark, tmp_path, monkeypatch):
+    """Its tables lie by series; tables written as their rows came give the same texts."""
+    from retail_signals.plans import jobs
+    raw, out, plain = tmp_path / "raw", tmp_path / "out", tmp_path / "plain"
+    raw.mkdir()
+    _write_inputs(raw, days=40)
+    run_pipeline(spark, raw, out)
+    for name in ("validation_logs", "inventory_fulfillment", "recommendations"):
+        read_table(spark, out, name).write.parquet(f"{plain}/{name}.parquet")
+    exchanges = []
+    write = jobs.write_table
+    monkeypatch.setattr(jobs, "write_table", lambda df, folder, name: exchanges.append(_exchanges(df)) or write(df, folder, name))
+    one, other = (run_diagnosis(spark, folder, all_anomalies=True) for folder in (out, plain))
+    assert exchanges[0] == 0 and exchanges[1] > 0
+    assert one.count() > 0 and sorted(one.collect(), key=str) == sorted(other.collect(), key=str)
+
+
 def test_tables_by_series_are_copied_bucket_by_bucket(spark, tmp_path):
     """A task that writes by series sorts its rows by bucket: it should hold one bucket."""
     rows = spark.range(200).select(F.col("id").cast("string").alias("store_id"), F.lit("a").alias("item_id"), "id")
